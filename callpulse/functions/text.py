@@ -13,6 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from callpulse.session import broadcast_if_small
@@ -24,7 +25,7 @@ def _fold_one(s):
     return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii").lower()
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def fold_text(s: pd.Series) -> pd.Series:
     return s.map(_fold_one, na_action="ignore")
 
