@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from callpulse.session import broadcast_if_small
 
 
 def _fold_one(s):
@@ -30,8 +29,11 @@ def fold_text(s: pd.Series) -> pd.Series:
     return s.map(_fold_one, na_action="ignore")
 
 
-def fold_names(df: DataFrame, col: str, out: str, max_rows: int = 2_000_000) -> DataFrame:
-    """Add ``out`` = folded ``col`` computed over the distinct values of ``col``."""
+def fold_names(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Add ``out`` = folded ``col`` computed over the distinct values of ``col``.
+
+    The join side is a small aggregate; AQE broadcasts it when its measured size allows.
+    """
     dim = df.select(col).where(F.col(col).isNotNull()).distinct()
     dim = dim.select(col, fold_text(F.col(col)).alias(out))
-    return df.join(broadcast_if_small(dim, max_rows), on=col, how="left")
+    return df.join(dim, on=col, how="left")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from callpulse.config import KEY, MEDIAN_FILL_COLUMNS, MODEL_FEATURES, Config
 from callpulse.operators.warehouse import PUNCTUALITY_COLUMNS
+from callpulse.session import materialize
 
 CALL_FEATURE_COLUMNS = (
     *KEY,
@@ -114,9 +115,17 @@ CRM_FEATURE_COLUMNS = (
 )
 
 
-def features_joined(call_features: DataFrame, crm: DataFrame) -> DataFrame:
-    """Call features left-joined to the CRM features and label on KEY."""
+def features_joined(call_features: DataFrame, crm: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """Call features left-joined to the CRM features and label on KEY.
+
+    Both KEY-grain inputs are written to the checkpoint folder first: it cuts
+    the lineage (a lost executor re-reads them) and keeps the optimizer's
+    constraint inference from growing with the number of derived columns.
+    """
     c = crm.select(*KEY, "rating", "mandate_delta_days", *CRM_FEATURE_COLUMNS)
+    if checkpoint:
+        c = materialize(c)
+        call_features = materialize(call_features)
     return call_features.join(c, list(KEY), "left")
 
 

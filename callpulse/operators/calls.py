@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from callpulse.config import KEY, MISSED_NO_CALLBACK, MISSED_SAME_DAY, Config
 from callpulse.functions.exprs import cap, nullif_zero, pct, ratio
-from callpulse.functions.text import fold_names
+from callpulse.functions.text import fold_text
 from callpulse.functions.timefns import add_days, floor_days
 from callpulse.operators.warehouse import ABSENT, PUNCTUALITY_COLUMNS
 from callpulse.session import materialize
@@ -36,13 +36,14 @@ ROLE_BIZDEV = "bizdev"
 ROLE_OTHER = "other"
 
 
-def first_expert_call(call_base: DataFrame, cfg: Config) -> DataFrame:
-    """Earliest call of each agent made under an expert role, over the whole history."""
-    return (
-        call_base.where(F.col("role_id").isin(*cfg.expert_roles) & F.col("agent").isNotNull())
-        .groupBy("agent")
-        .agg(F.min("start_time").alias("first_expert_call"))
+def agent_dimension(call_base: DataFrame, cfg: Config) -> DataFrame:
+    """One row per distinct agent name: first call made under an expert role (whole history,
+    null if none) and the folded name. The fold UDF runs on distinct names only."""
+    expert = F.col("role_id").isin(*cfg.expert_roles)
+    d = call_base.where(F.col("agent").isNotNull()).groupBy("agent").agg(
+        F.min(F.when(expert, F.col("start_time"))).alias("first_expert_call")
     )
+    return d.withColumn("agent_norm", fold_text(F.col("agent")))
 
 
 def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config) -> DataFrame:
@@ -52,8 +53,8 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config) -> DataFra
     call's own opportunity.
     """
     c = call_base.withColumn("duration_s", cap("duration_s", cfg.duration_cap_s))
-    c = c.join(first_expert_call(call_base, cfg), "agent", "left")
-    c = fold_names(c, "agent", "agent_norm", cfg.broadcast_max_rows)
+    # AQE turns this into a broadcast join when the measured dimension is small
+    c = c.join(agent_dimension(call_base, cfg), "agent", "left")
     role = (
         F.when(F.col("role_id").isin(*cfg.expert_roles), F.lit(ROLE_EXPERT))
         .when(F.col("role_id") == cfg.bizdev_role, F.lit(ROLE_BIZDEV))

@@ -120,7 +120,7 @@ _cte(
             WHEN c.opp_id % 11 = 1 THEN c.created_at + {_days('-3000')}
             ELSE c.created_at + {_days('(c.opp_id * 7) % 60')} END AS compromise_at,
        CASE WHEN c.opp_id % 5 = 0 THEN NULL
-            ELSE c.created_at + {_days('(c.opp_id * 13) % 120 - 10')} END AS suspensive_at,
+            ELSE c.created_at + {_days('(c.opp_id * 13) % 60 - 10')} END AS suspensive_at,
        CASE WHEN c.opp_id % 3 = 0 THEN c.created_at + {_days('c.opp_id % 100')} END AS lost_at,
        CASE WHEN c.opp_id % 6 = 0 THEN c.created_at + {_days('c.opp_id % 50 + 20')} END AS offer_edited_at,
        CASE WHEN c.opp_id % 8 = 0 THEN c.created_at + {_days('100')} END AS funds_at,
@@ -132,16 +132,17 @@ FROM opps_core c JOIN orders o ON o.o_orderkey = c.opp_id""",
 def _stage_sql() -> str:
     from callpulse.config import STAGE_COLUMNS
 
-    off = f"date_diff('day', DATE '{BASE_DAY}', CAST(l_shipdate AS DATE)) % 90 - 5"
-    mins = ",\n       ".join(
-        f"min(CASE WHEN l_linenumber = {i + 1} THEN {off} END) AS o{i}" for i in range(len(STAGE_COLUMNS))
-    )
-    cols = ",\n       ".join(f"c.created_at + {_days(f'a.o{i}')} AS {name}" for i, name in enumerate(STAGE_COLUMNS))
+    cols = []
+    for i, name in enumerate(STAGE_COLUMNS):
+        shift = f"a.b + {4 * i - 5}"
+        if i == 4:
+            shift = f"CASE WHEN c.opp_id % 5 = 0 THEN {shift} - 4 ELSE {shift} END"
+        cols.append(f"CASE WHEN (c.opp_id * {i + 1}) % 7 = 0 THEN NULL ELSE c.created_at + {_days(shift)} END AS {name}")
+    sel = ",\n       ".join(cols)
     return f"""SELECT c.opp_id,
-       {cols}
-FROM (SELECT l_orderkey,
-       {mins}
-      FROM lineitem WHERE l_linenumber <= {len(STAGE_COLUMNS)} GROUP BY l_orderkey) a
+       {sel}
+FROM (SELECT l_orderkey, min(date_diff('day', DATE '{BASE_DAY}', CAST(l_shipdate AS DATE)) % 30) AS b
+      FROM lineitem GROUP BY l_orderkey) a
 JOIN opps_core c ON a.l_orderkey = c.opp_id"""
 
 

@@ -26,9 +26,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # wide derived-column chains make constraint inference grow very fast; filters are explicit here
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if master and master.startswith("local"):
+        b = b.config("spark.driver.memory", os.environ.get("CALLPULSE_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()

@@ -154,7 +154,7 @@ def opps(t: Tables) -> DataFrame:
         .alias("lead_owner"),
         F.when(K % 10 == 0, F.lit("price")).alias("lost_reason"),
         F.when(K % 4 == 0, ts_null).when(K % 11 == 1, add_days(C, -3000)).otherwise(add_days(C, (K * 7) % 60)).alias("compromise_at"),
-        F.when(K % 5 == 0, ts_null).otherwise(add_days(C, (K * 13) % 120 - 10)).alias("suspensive_at"),
+        F.when(K % 5 == 0, ts_null).otherwise(add_days(C, (K * 13) % 60 - 10)).alias("suspensive_at"),
         F.when(K % 3 == 0, add_days(C, K % 100)).alias("lost_at"),
         F.when(K % 6 == 0, add_days(C, K % 50 + 20)).alias("offer_edited_at"),
         F.when(K % 8 == 0, add_days(C, 100)).alias("funds_at"),
@@ -163,17 +163,28 @@ def opps(t: Tables) -> DataFrame:
 
 
 def opp_stages(t: Tables) -> DataFrame:
-    """Process-stage dates per opportunity from its line items (one partial aggregation)."""
+    """Process-stage dates per opportunity from its line items (one partial aggregation).
+
+    Stage i is 4*i days after the order's earliest ship-day offset; some stages are
+    missing and, for one opportunity in five, stage 4 falls on the day of stage 3.
+    """
     from callpulse.config import STAGE_COLUMNS
 
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate").where(F.col("l_linenumber") <= len(STAGE_COLUMNS))
-    off = F.datediff(F.to_date("l_shipdate"), F.lit(BASE_DAY).cast("date")) % 90 - 5
-    agg = li.groupBy("l_orderkey").agg(
-        *[F.min(F.when(F.col("l_linenumber") == i + 1, off)).alias(f"o{i}") for i in range(len(STAGE_COLUMNS))]
-    )
+    li = t.lineitem.select("l_orderkey", "l_shipdate")
+    off = F.datediff(F.to_date("l_shipdate"), F.lit(BASE_DAY).cast("date")) % 30
+    agg = li.groupBy("l_orderkey").agg(F.min(off).alias("b"))
     core = opps_core(t).select("opp_id", "created_at")
     j = agg.join(core, agg.l_orderkey == core.opp_id)
-    return j.select("opp_id", *[add_days("created_at", F.col(f"o{i}")).alias(c) for i, c in enumerate(STAGE_COLUMNS)])
+    K = F.col("opp_id")
+    cols = []
+    for i, c in enumerate(STAGE_COLUMNS):
+        shift = F.col("b") + (4 * i - 5)
+        if i == 4:
+            shift = F.when(K % 5 == 0, shift - 4).otherwise(shift)
+        cols.append(
+            F.when((K * (i + 1)) % 7 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(add_days("created_at", shift)).alias(c)
+        )
+    return j.select("opp_id", *cols)
 
 
 def reviews(t: Tables) -> DataFrame:
