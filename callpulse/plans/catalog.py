@@ -283,6 +283,12 @@ def q_crm_features(spark, sf_dir):
     return f.select(*KEY, "rating", "mandate_delta_days", *AS.CRM_FEATURE_COLUMNS)
 
 
+def q_call_features_raw(spark, sf_dir):
+    from callpulse.operators.assemble import CALL_FEATURE_COLUMNS
+
+    return AS.as_double(Ctx(spark, sf_dir).call_raw.select(*CALL_FEATURE_COLUMNS))
+
+
 def q_weighted_medians(spark, sf_dir):
     return AS.weighted_medians(Ctx(spark, sf_dir).call_raw)
 
@@ -381,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_deltas": q_stage_deltas,
     "last_stage": q_last_stage,
     "crm_features": q_crm_features,
+    "call_features_raw": q_call_features_raw,
     "weighted_medians": q_weighted_medians,
     "call_features_all": q_call_features_all,
     "features_joined": q_features_joined,

@@ -700,6 +700,9 @@ WHERE opp_id NOT IN (
             f"SELECT conv_id, turn, {fold('text')} AS text_folded FROM conversations",
         ),
     }
+    from callpulse.operators.assemble import CALL_FEATURE_COLUMNS
+
+    q["call_features_raw"] = (["cf_raw"], f"SELECT {_raw_cols(CALL_FEATURE_COLUMNS[3:])} FROM cf_raw")
     for name, cols in RAW_VIEWS.items():
         q[name] = (["cf_raw"], f"SELECT {_raw_cols(cols)} FROM cf_raw")
     return {name: with_ctes(needs, body) for name, (needs, body) in q.items()}

@@ -26,6 +26,7 @@ SUBSET = (
     "multi_call_days",
     "long_gaps",
     "missed_pivot",
+    "call_features_raw",
     "call_features_all",
     "crm_clean",
     "crm_features",

@@ -24,7 +24,7 @@ def ctx(spark):
 
 
 def test_key_unique(ctx):
-    f = ctx.call_features
+    f = ctx.call_raw
     assert f.count() == f.select(*KEY).distinct().count() > 0
 
 
