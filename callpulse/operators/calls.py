@@ -46,12 +46,15 @@ def agent_dimension(call_base: DataFrame, cfg: Config) -> DataFrame:
     return d.withColumn("agent_norm", fold_text(F.col("agent")))
 
 
-def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config) -> DataFrame:
+def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint: bool = True) -> DataFrame:
     """Calls x labels of the same account with ``ref_date - window < start_time < ref_date``.
 
     Any opportunity of the account matches (many-to-many); the KEY keeps the
-    call's own opportunity.
+    call's own opportunity. The call register is read twice (the calls and the
+    per-agent dimension over the whole history), so it is written once first.
     """
+    if checkpoint:
+        call_base = materialize(call_base)
     c = call_base.withColumn("duration_s", cap("duration_s", cfg.duration_cap_s))
     # AQE turns this into a broadcast join when the measured dimension is small
     c = c.join(agent_dimension(call_base, cfg), "agent", "left")
@@ -309,4 +312,6 @@ def call_features_raw(cw: DataFrame, cfg: Config, checkpoint: bool = True) -> Da
         "n_interlocutors",
         F.when(F.col("n_real_kept") > 0, F.coalesce(F.col("n_interlocutors_raw"), F.lit(0))),
     )
-    return out.drop("n_experts_raw", "n_interlocutors_raw", "n_no_callback", "n_same_day")
+    out = out.drop("n_experts_raw", "n_interlocutors_raw", "n_no_callback", "n_same_day")
+    # read by the median fit and by the fill: one row per KEY, written once
+    return materialize(out) if checkpoint else out

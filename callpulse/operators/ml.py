@@ -63,6 +63,30 @@ def split_flag(rows: DataFrame, cfg: Config) -> DataFrame:
     return rows.withColumn("is_test", u < cfg.test_fraction)
 
 
+def correlated_features(rows: DataFrame, threshold: float = 0.85, features=MODEL_FEATURES) -> DataFrame:
+    """Feature pairs with |Pearson r| above ``threshold`` (upper triangle).
+
+    One distributed pass (``pyspark.ml.stat.Correlation`` on the assembled
+    vector); only the k x k matrix (k = number of features) reaches the
+    driver. Constant columns give NaN and are never reported. The second
+    feature of each pair is the one a correlation filter drops; off by
+    default in training.
+    """
+    import math
+
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=list(features), outputCol="_v").transform(rows).select("_v")
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    out = [
+        (a, b, float(m[i, j]))
+        for i, a in enumerate(features)
+        for j, b in enumerate(features)
+        if j > i and not math.isnan(m[i, j]) and abs(m[i, j]) > threshold
+    ]
+    return rows.sparkSession.createDataFrame(out, "feature_a string, feature_b string, corr double")
+
+
 def _pipeline(cfg: Config) -> Pipeline:
     asm = VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features", handleInvalid="error")
     rf = RandomForestClassifier(

@@ -316,6 +316,35 @@ def q_stratified_split(spark, sf_dir):
     return ML.split_flag(ML.training_rows(c.matrix, c.cfg), c.cfg).select(*KEY, "is_good", "is_test")
 
 
+def q_correlated_features(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return ML.correlated_features(ML.training_rows(c.matrix, c.cfg))
+
+
+def q_review_csv_roundtrip(spark, sf_dir):
+    """Reviews exported per source as CSV to shared storage, read back with the declared schema, then labelled."""
+    import uuid
+
+    from callpulse.session import ensure_checkpoint_dir
+    from callpulse.sources.tables import read_reviews_csv
+
+    c = Ctx(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/review_export_{uuid.uuid4().hex}"
+    r = A.reviews(c.t)
+    frames = []
+    for s in A.REVIEW_SOURCES:
+        path = f"{root}/{s}"
+        part = r.where(F.col("source") == s).select("opp_id", "account_id", "review_ts", "rating", "review_id")
+        if s == "nps":  # the survey export carries one extra column, dropped on read
+            part = part.withColumn("journey_step", F.lit("after_mandate"))
+        part.write.mode("overwrite").option("header", True).csv(path)
+        schema_extra = ("journey_step",) if s == "nps" else ()
+        df = read_reviews_csv(spark, path, extra=schema_extra)
+        frames.append(df.withColumn("source", F.lit(s)))
+    m = WH.mandates_train(A.mandate_events(c.t), A.bank_requests(c.t))
+    return LA.labels_train(m, LA.union_reviews(*frames), c.cfg)
+
+
 def q_impute_trace(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     return AS.impute_trace(c.matrix, c.cfg)
@@ -393,6 +422,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_joined": q_features_joined,
     "impute_trace": q_impute_trace,
     "label_is_good": q_label_is_good,
+    "correlated_features": q_correlated_features,
+    "review_csv_roundtrip": q_review_csv_roundtrip,
     "class_weights": q_class_weights,
     "stratified_split": q_stratified_split,
     "latest_scores": q_latest_scores,

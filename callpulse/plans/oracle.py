@@ -617,6 +617,25 @@ SELECT date_pred, opp_id, url, proba, treatment FROM previous_alerts WHERE treat
 )
 
 
+_PAIRS = [(a, b) for i, a in enumerate(MODEL_FEATURES) for b in MODEL_FEATURES[i + 1 :]]
+_cte(
+    "corr_wide",
+    ("train_rows",),
+    "SELECT "
+    + ", ".join(
+        f"covar_samp({a}, {b}) / nullif(stddev_samp({a}) * stddev_samp({b}), 0) AS c{i}" for i, (a, b) in enumerate(_PAIRS)
+    )
+    + " FROM train_rows",
+)
+_cte(
+    "corr_pairs",
+    ("corr_wide",),
+    "SELECT unnest(["
+    + ", ".join(f"struct_pack(feature_a := '{a}', feature_b := '{b}', corr := c{i})" for i, (a, b) in enumerate(_PAIRS))
+    + "], recursive := true) FROM corr_wide",
+)
+
+
 def _rows(cte: str, cols: str = "*") -> tuple[list[str], str]:
     return [cte], f"SELECT {cols} FROM {cte}"
 
@@ -684,6 +703,8 @@ FROM (SELECT is_good, count(*) AS n_class FROM train_rows GROUP BY is_good) c"""
          / 10000.0 < {CFG.test_fraction} AS is_test
 FROM train_rows""",
         ),
+        "correlated_features": (["corr_pairs"], "SELECT * FROM corr_pairs WHERE abs(corr) > 0.85 AND NOT isnan(corr)"),
+        "review_csv_roundtrip": _rows("labels_train"),
         "latest_scores": _rows("latest_scores"),
         "alerts_ranked": _rows("latest_scores"),
         "alert_history_merge": _rows("history_merged"),

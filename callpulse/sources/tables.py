@@ -85,7 +85,9 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
 
-def read_reviews_csv(spark: SparkSession, path: str, drop: tuple[str, ...] = ()) -> DataFrame:
-    """One review export (header row, declared schema); extra columns dropped."""
-    df = spark.read.csv(path, header=True, schema=REVIEW_SCHEMA, mode="PERMISSIVE")
-    return df.drop(*drop) if drop else df
+def read_reviews_csv(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One review export (header row, declared schema). ``extra`` names trailing columns
+    that some exports carry; they are read as strings and dropped."""
+    schema = T.StructType(REVIEW_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in extra])
+    df = spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE", enforceSchema=False)
+    return df.drop(*extra) if extra else df
