@@ -2,10 +2,9 @@
 
 The per-KEY call features are filled with *call-weighted* medians: each KEY
 counts as many times as it has call rows, which is what a per-call feature
-table would give. ``percentile(x, 0.5, n_rows)`` computes that exactly
-without materialising the repeated rows. Medians are fitted once (a
-one-row aggregation, like ``pyspark.ml.feature.Imputer``) and applied as
-literals.
+table would give. The median is computed exactly without materialising the repeated rows (``callpulse.operators.median``:
+exact, with bounded state per task). Medians are fitted once, like
+``pyspark.ml.feature.Imputer``, and applied as literals.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpulse.config import KEY, MEDIAN_FILL_COLUMNS, MODEL_FEATURES, Config
+from callpulse.operators.median import exact_medians
 from callpulse.operators.warehouse import PUNCTUALITY_COLUMNS
 from callpulse.session import materialize
 
@@ -73,20 +73,16 @@ def as_double(df: DataFrame, keep: set[str] = _NON_NUMERIC) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).cast("double").alias(c) for c in df.columns])
 
 
-def weighted_medians(features: DataFrame, cols=MEDIAN_FILL_COLUMNS, weight: str = "n_rows") -> DataFrame:
-    """One-row frame: median of each column, each KEY weighted by ``weight`` (nulls skipped)."""
-    return features.agg(
-        *[F.percentile(F.col(c).cast("double"), F.lit(0.5), F.col(weight)).alias(c) for c in cols]
-    )
+def fit_medians(features: DataFrame, cols, weight: str | None = None) -> dict[str, float | None]:
+    """Fit step: exact medians as driver-side scalars (one value per column), bounded per task."""
+    return exact_medians(features, cols, weight)
 
 
-def fit_medians(features: DataFrame, cols, weight: str | None = None) -> dict[str, float | None]:
-    """Fit step: the medians as driver-side scalars (one value per column)."""
-    if weight:
-        row = weighted_medians(features, cols, weight).first()
-    else:
-        row = features.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+def weighted_medians(features: DataFrame, cols=MEDIAN_FILL_COLUMNS, weight: str = "n_rows") -> DataFrame:
+    """One-row frame: median of each column, each KEY weighted by ``weight`` (nulls skipped)."""
+    med = fit_medians(features, cols, weight)
+    schema = ", ".join(f"{c} double" for c in cols)
+    return features.sparkSession.createDataFrame([tuple(med[c] for c in cols)], schema)
 
 
 def fill(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
@@ -145,6 +141,7 @@ def impute_trace(matrix: DataFrame, cfg: Config) -> DataFrame:
     )
     m = picked.select("account_id", "opp_id", *[F.col("_p")[c].alias(c) for c in payload])
     m = m.select("account_id", "opp_id", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
+    m = materialize(m)  # read by the three median passes and the fill
     med = fit_medians(m, SCORE_IMPUTED)
     trace = F.concat(*[F.when(F.col(c).isNull(), F.lit(f" / {c}")).otherwise(F.lit("")) for c in SCORE_IMPUTED])
     m = m.withColumn("missing_values", trace)
