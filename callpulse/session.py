@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,11 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of an intermediate that several branches read.
 
-    Writes the frame once to the shared checkpoint folder so that a lost
-    executor re-reads it instead of recomputing the upstream joins.
+    Writes the frame once as a parquet table under the shared checkpoint
+    folder and reads it back: a lost executor re-reads it instead of
+    recomputing the upstream joins, later scans prune columns, and the
+    planner sees its real size (broadcast and AQE decisions).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

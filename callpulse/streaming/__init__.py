@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The system this library re-expresses is two scheduled batch jobs (daily scoring
+and alerts, twice-monthly training); its 7/14/60-day windows are batch
+predicates relative to a reference date, not event-time windows. The jobs in
+``callpulse.plans.jobs`` are meant to be triggered by an external scheduler.
+"""
