@@ -80,6 +80,23 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint
     return c.join(lab, cond).drop("_acc")
 
 
+# Total order of calls inside a KEY packed in one long: microseconds since 2000 (49-51 bits
+# until 2070), then the call id modulo 4096 (12 bits) to separate equal start times.
+_ORDER_EPOCH = "2000-01-01 00:00:00"
+_ORDER_TIE_BITS = 4096
+
+
+def call_order():
+    us = F.timestamp_diff("MICROSECOND", F.lit(_ORDER_EPOCH).cast("timestamp_ntz"), F.col("start_time"))
+    return us * _ORDER_TIE_BITS + F.pmod(F.col("call_id"), F.lit(_ORDER_TIE_BITS))
+
+
+def _last(name: str, value, cond, order):
+    """(max ordering, value at it) over rows meeting ``cond``; both fixed-width."""
+    o = F.when(cond, order)
+    return [F.max(o).alias(f"{name}_ord"), F.max_by(value, o).alias(f"last_{name}")]
+
+
 def _is_in(c):
     return F.col("direction") == "in"
 
@@ -97,7 +114,7 @@ def call_cells(cw: DataFrame, cfg: Config) -> DataFrame:
     bizdev = F.col("role_id") == cfg.bizdev_role
     care = bizdev & (F.col("manager_name") == cfg.customer_care_manager)
     kept_mgr = ~F.coalesce(F.col("manager_name").isin(*cfg.excluded_managers), F.lit(False))
-    order = F.struct("start_time", "call_id")
+    order = call_order()
 
     def n(cond):
         return F.count_if(F.coalesce(cond, F.lit(False)))
@@ -134,12 +151,11 @@ def call_cells(cw: DataFrame, cfg: Config) -> DataFrame:
         F.count("missed_status").alias("n_missed_rows"),
         n(F.col("missed_status") == MISSED_NO_CALLBACK).alias("n_no_callback"),
         n(F.col("missed_status") == MISSED_SAME_DAY).alias("n_same_day"),
-        F.max(F.when(F.col("direction").isNotNull(), order)).alias("dir_ord"),
-        F.max_by("direction", F.when(F.col("direction").isNotNull(), order)).alias("last_dir"),
-        F.max(F.when(F.col("absence_flag").isNotNull(), order)).alias("abs_ord"),
-        F.max_by("absence_flag", F.when(F.col("absence_flag").isNotNull(), order)).alias("last_abs"),
+        # "value at the last call" picks: fixed-width max_by keeps the aggregation hash-based
+        *_last("dir", F.when(_is_in(None), F.lit(0)).otherwise(F.lit(1)), F.col("direction").isNotNull(), order),
+        *_last("abs", F.when(F.col("absence_flag") == ABSENT, F.lit(1)).otherwise(F.lit(0)), F.col("absence_flag").isNotNull(), order),
         F.max(F.when(F.col("no_show").isNotNull(), order)).alias("pun_ord"),
-        F.max_by(F.struct(*PUNCTUALITY_COLUMNS), F.when(F.col("no_show").isNotNull(), order)).alias("last_pun"),
+        *[F.max_by(c, F.when(F.col("no_show").isNotNull(), order)).alias(f"last_{c}") for c in PUNCTUALITY_COLUMNS],
         F.min("start_time").alias("min_start"),
         F.min("first_expert_call").alias("first_expert_call"),
         F.max("start_time").alias("max_start"),
@@ -175,7 +191,7 @@ def _flat(cells: DataFrame, cfg: Config) -> DataFrame:
         s("n_same_day").alias("n_same_day"),
         F.max_by("last_dir", "dir_ord").alias("last_dir"),
         F.max_by("last_abs", "abs_ord").alias("last_abs"),
-        F.max_by("last_pun", "pun_ord").alias("last_pun"),
+        *[F.max_by(f"last_{c}", "pun_ord").alias(f"last_{c}") for c in PUNCTUALITY_COLUMNS],
         F.max("max_start").alias("max_start"),
         F.max("max_mandate").alias("max_mandate"),
     ]
@@ -224,9 +240,9 @@ def _flat(cells: DataFrame, cfg: Config) -> DataFrame:
         "n_same_day",
         ratio("n_missed_rows", "n_calls_global").alias("missed_ratio"),
         ratio(nullif_zero("n_no_callback"), "n_calls_global").alias("no_callback_ratio"),
-        F.when(F.col("last_dir") == "in", F.lit(0)).otherwise(F.lit(1)).alias("last_call_out"),
-        F.when(F.col("last_abs") == ABSENT, F.lit(1)).otherwise(F.lit(0)).alias("agent_absent"),
-        *[F.col("last_pun")[c].alias(c) for c in PUNCTUALITY_COLUMNS],
+        F.coalesce(F.col("last_dir"), F.lit(1)).alias("last_call_out"),
+        F.coalesce(F.col("last_abs"), F.lit(0)).alias("agent_absent"),
+        *[F.col(f"last_{c}").alias(c) for c in PUNCTUALITY_COLUMNS],
         "max_start",
         "max_mandate",
         (F.col("n_calls_global") * F.coalesce(avg, F.lit(0.0))).alias("total_time"),

@@ -296,7 +296,7 @@ FROM cw GROUP BY {K}""",
 
 def _last_nonnull(col: str, name: str) -> str:
     return f"""SELECT {K}, {col} AS {name} FROM (
-  SELECT {K}, {col}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id DESC) AS rn
+  SELECT {K}, {col}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id % 4096 DESC) AS rn
   FROM cw WHERE {col.split(',')[0]} IS NOT NULL) x WHERE rn = 1"""
 
 
@@ -306,7 +306,7 @@ _cte(
     "k_last_pun",
     ("cw",),
     f"""SELECT {K}, {PUNCT} FROM (
-  SELECT {K}, {PUNCT}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id DESC) AS rn
+  SELECT {K}, {PUNCT}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id % 4096 DESC) AS rn
   FROM cw WHERE no_show IS NOT NULL) x WHERE rn = 1""",
 )
 
