@@ -206,12 +206,19 @@ def reviews(t: Tables) -> DataFrame:
 
 
 def mandate_events(t: Tables) -> DataFrame:
-    """Mandate-approved events: (project_id, received_at); repeats and orphans included."""
+    """Mandate-approved events: (project_id, received_at); repeats and orphans included (one scan)."""
     m = opps_core(t).select("opp_id", "project_id", "mandate_signed_at").where(F.col("mandate_signed_at").isNotNull())
-    a = m.select("project_id", F.col("mandate_signed_at").alias("received_at"))
-    b = m.where(F.col("opp_id") % 9 == 0).select("project_id", add_days("mandate_signed_at", 2).alias("received_at"))
-    c = m.where(F.col("opp_id") % 50 == 0).select((-1 - F.col("project_id")).alias("project_id"), F.col("mandate_signed_at").alias("received_at"))
-    return a.unionByName(b).unionByName(c)
+    K, P, M = F.col("opp_id"), F.col("project_id"), F.col("mandate_signed_at")
+
+    def ev(project, received):
+        return F.struct(project.alias("project_id"), received.alias("received_at"))
+
+    events = F.array(
+        ev(P, M),
+        F.when(K % 9 == 0, ev(P, add_days(M, 2))),
+        F.when(K % 50 == 0, ev(-1 - P, M)),
+    )
+    return m.select(F.explode(events).alias("e")).where(F.col("e").isNotNull()).select("e.project_id", "e.received_at")
 
 
 def bank_requests(t: Tables) -> DataFrame:
