@@ -235,7 +235,7 @@ def appointments(t: Tables) -> DataFrame:
         e.alias("event_id"),
         F.col("user_id").alias("account_id"),
         _agent_of(F.col("user_id"), e, n).alias("owner_id"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start_at"),
+        add_hours(F.to_date("ts").cast("timestamp_ntz"), F.hour("ts")).alias("start_at"),
         _pick(APPOINTMENT_STATUSES, e % 3).alias("status"),
         F.when(e % 4 == 0, F.lit("Meeting")).otherwise(F.lit("Call")).alias("type"),
         (e % 11 == 0).alias("is_deleted"),
