@@ -97,11 +97,11 @@ def _last(name: str, value, cond, order):
     return [F.max(o).alias(f"{name}_ord"), F.max_by(value, o).alias(f"last_{name}")]
 
 
-def _is_in(c):
+def _is_in():
     return F.col("direction") == "in"
 
 
-def _is_out(c=None):
+def _is_out():
     return F.col("direction") == "out"
 
 
@@ -122,13 +122,13 @@ def call_cells(cw: DataFrame, cfg: Config) -> DataFrame:
     aggs = [
         F.count(F.lit(1)).alias("n_rows"),
         F.count("start_time").alias("n_start"),
-        n(_is_in(None)).alias("n_in"),
+        n(_is_in()).alias("n_in"),
         n(_is_out()).alias("n_out"),
     ]
     for name, cat in (("expert", expert), ("bizdev", bizdev), ("customer_care", care)):
         aggs += [
             n(cat & F.col("start_time").isNotNull()).alias(f"n_{name}"),
-            n(cat & _is_in(None)).alias(f"in_{name}"),
+            n(cat & _is_in()).alias(f"in_{name}"),
             n(cat & _is_out()).alias(f"out_{name}"),
         ]
     aggs += [
@@ -142,8 +142,8 @@ def call_cells(cw: DataFrame, cfg: Config) -> DataFrame:
         F.max(F.when(real & _is_out(), F.col("start_time"))).alias("last_real_out"),
         F.sum(d).alias("sum_dur"),
         F.count(d).alias("n_dur"),
-        F.sum(F.when(_is_in(None), d)).alias("sum_dur_in"),
-        n(_is_in(None) & d.isNull() & expert).alias("n_unanswered_in"),
+        F.sum(F.when(_is_in(), d)).alias("sum_dur_in"),
+        n(_is_in() & d.isNull() & expert).alias("n_unanswered_in"),
         n(_is_out() & d.isNull()).alias("n_unanswered_out"),
         n(d > cfg.long_call_s).alias("n_gt_600"),
         n(d >= cfg.medium_call_s).alias("n_ge_180"),
@@ -152,7 +152,7 @@ def call_cells(cw: DataFrame, cfg: Config) -> DataFrame:
         n(F.col("missed_status") == MISSED_NO_CALLBACK).alias("n_no_callback"),
         n(F.col("missed_status") == MISSED_SAME_DAY).alias("n_same_day"),
         # "value at the last call" picks: fixed-width max_by keeps the aggregation hash-based
-        *_last("dir", F.when(_is_in(None), F.lit(0)).otherwise(F.lit(1)), F.col("direction").isNotNull(), order),
+        *_last("dir", F.when(_is_in(), F.lit(0)).otherwise(F.lit(1)), F.col("direction").isNotNull(), order),
         *_last("abs", F.when(F.col("absence_flag") == ABSENT, F.lit(1)).otherwise(F.lit(0)), F.col("absence_flag").isNotNull(), order),
         F.max(F.when(F.col("no_show").isNotNull(), order)).alias("pun_ord"),
         *[F.max_by(c, F.when(F.col("no_show").isNotNull(), order)).alias(f"last_{c}") for c in PUNCTUALITY_COLUMNS],
