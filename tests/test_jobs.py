@@ -22,3 +22,26 @@ def test_alerts_job_writes_tables(spark):
     assert cleared.where("treatment <> ''").count() == 0
     # nothing alerted twice within the recent window
     assert new.join(hist.select("opp_id").distinct(), "opp_id").where("date_pred IS NULL").count() == 0
+
+
+def test_train_then_score_job_writes_outputs(spark):
+    from callpulse.config import Config
+    from callpulse.plans.jobs import score_job, train_job
+    from callpulse.sources.tables import SCORE_SCHEMA
+
+    cfg = Config(num_trees=5, min_instances_per_node=5)
+    root = tempfile.mkdtemp(prefix="callpulse-jobs-")
+    metrics = train_job(spark, SF, f"{root}/model", cfg)
+    assert metrics.first()["n_train"] > 0
+    scores = score_job(spark, SF, f"{root}/model", root, cfg=cfg)
+    n = scores.count()
+    table = spark.read.schema(SCORE_SCHEMA).parquet(f"{root}/score_table")
+    assert table.count() == n > 0
+    latest = spark.read.schema(SCORE_SCHEMA).option("header", True).csv(f"{root}/predictions_latest")
+    assert latest.count() == n
+    by_day = spark.read.option("header", True).csv(f"{root}/predictions_by_day")
+    assert by_day.select("pred_day").distinct().count() == 1
+    # a second run of the same day appends to the table and replaces only that day's copy
+    score_job(spark, SF, f"{root}/model", root, cfg=cfg)
+    assert spark.read.schema(SCORE_SCHEMA).parquet(f"{root}/score_table").count() == 2 * n
+    assert spark.read.option("header", True).csv(f"{root}/predictions_by_day").count() == n
