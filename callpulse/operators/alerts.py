@@ -12,8 +12,9 @@ from callpulse.functions.timefns import floor_days
 
 def latest_scores(scores: DataFrame, opps: DataFrame, cfg: Config) -> DataFrame:
     """Newest score per open opportunity, scores at most ``alert_max_age_days`` old; proba as a rounded percent."""
-    age = F.datediff(F.lit(cfg.as_of), F.to_date("date_pred"))
-    s = scores.where(age <= cfg.alert_max_age_days).select("opp_id", "date_pred", "url", "proba")
+    # calendar age <= max_age days, written on the bare column so it reaches the scan of the growing score table
+    since = F.date_sub(F.lit(cfg.as_of), cfg.alert_max_age_days).cast("timestamp_ntz")
+    s = scores.where(F.col("date_pred") >= since).select("opp_id", "date_pred", "url", "proba")
     o = opps.select("opp_id", "lost_reason", "lost_at", "funds_at", "stage", "is_pro", "lead_owner")
     j = s.join(o, "opp_id", "left").where(
         F.col("lost_reason").isNull()

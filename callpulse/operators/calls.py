@@ -72,6 +72,10 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint
         "mandate_date",
         "mandate_delta_days",
     )
+    # no call outside [min(ref) - window, max(ref)) can match: bound the calls before the join shuffle
+    lo = labels.select(add_days(F.min("ref_date"), -cfg.window_days)).scalar()
+    hi = labels.select(F.max("ref_date")).scalar()
+    c = c.where((F.col("start_time") > lo) & (F.col("start_time") < hi))
     cond = (
         (c.account_id == lab._acc)
         & (c.start_time < lab.ref_date)
