@@ -55,6 +55,7 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint
     """
     if checkpoint:
         call_base = materialize(call_base)
+        labels = materialize(labels)  # read by the date bounds and by the join
     c = call_base.withColumn("duration_s", cap("duration_s", cfg.duration_cap_s))
     # AQE turns this into a broadcast join when the measured dimension is small
     c = c.join(agent_dimension(call_base, cfg), "agent", "left")
@@ -73,9 +74,11 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint
         "mandate_delta_days",
     )
     # no call outside [min(ref) - window, max(ref)) can match: bound the calls before the join shuffle
-    lo = labels.select(add_days(F.min("ref_date"), -cfg.window_days)).scalar()
-    hi = labels.select(F.max("ref_date")).scalar()
-    c = c.where((F.col("start_time") > lo) & (F.col("start_time") < hi))
+    # (one scalar subquery, evaluated once and reused for both bounds)
+    span = labels.select(
+        F.struct(add_days(F.min("ref_date"), -cfg.window_days).alias("lo"), F.max("ref_date").alias("hi"))
+    ).scalar()
+    c = c.where((F.col("start_time") > span.getField("lo")) & (F.col("start_time") < span.getField("hi")))
     cond = (
         (c.account_id == lab._acc)
         & (c.start_time < lab.ref_date)
