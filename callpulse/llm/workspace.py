@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +13,27 @@ class Workspace:
     """A folder of Parquet tables that cut lineage, under ``spark.checkpoint.dir``.
 
     Each table is written once and read by several later branches; a lost
-    executor re-reads it. ``release`` lets Spark's cleaner drop the shuffle
-    files of finished steps, so the disk holds one step at a time. ``drop``
-    removes the folder; call it when the operator's result has been written.
+    executor re-reads it. While a table is written Spark is asked to remove
+    the shuffle files of that execution at its end: the table replaces them, so
+    the disk holds one step at a time. ``drop`` removes the folder; call it when
+    the operator's result has been written.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, listed: bool = True):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        OPEN.append(self)
+        if listed:
+            OPEN.append(self)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
-        schema = df.schema
-        del df
-        self.release()
-        return self.spark.read.schema(schema).parquet(path)
-
-    def release(self) -> None:
-        gc.collect()
-        self.spark._jvm.System.gc()
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self, name: str) -> None:
         """Remove one table that no later step reads."""
@@ -50,11 +49,15 @@ class Workspace:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: folders of this process that have not been dropped, oldest first
 OPEN: list[Workspace] = []
 
 
-def drop_finished() -> None:
-    """Drop every open folder. Only for callers that have written and reread all earlier results."""
+def drop_finished(docs: DataFrame) -> None:
+    """Drop every open folder that ``docs`` does not read. For steps whose input is all that is still needed."""
+    files = docs.inputFiles()
     for w in list(OPEN):
-        w.drop()
+        if not any(w.root.split("://")[-1] in f for f in files):
+            w.drop()
