@@ -81,13 +81,13 @@ def pieces(off: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, off: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every maximal run of non-separator bytes."""
     n = len(data)
     if n == 0:
         e = np.empty(0, np.int64)
         return e, e, e
-    sep = SEPARATOR[data]
+    sep = separator[data]
     first = np.empty(n, bool)
     first[0] = True
     first[1:] = sep[:-1]

@@ -27,10 +27,67 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(_read(spark, sf_dir, "documents"), texts=False)
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.language_id import identify_languages
+
+    return identify_languages(_read(spark, sf_dir, "documents"))
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.html_extract import main_texts
+
+    return main_texts(_read(spark, sf_dir, "pages"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.token_counts import context_totals, length_histogram
+    from callpulse.llm.workspace import Workspace
+
+    lengths = length_histogram(_read(spark, sf_dir, "documents"), tokenizer_path())
+    return context_totals(Workspace(spark, "token-counts").table(lengths, "histogram"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.fingerprints import neighbour_edits
+
+    return neighbour_edits(_read(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.decontaminate import leaks
+
+    return leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.license_scan import license_matches
+
+    return license_matches(_read(spark, sf_dir, "documents"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.bpe import encode_texts
+
+    return encode_texts(_read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_id": op2_language_id,
+    "op3_html_extract": op3_html_extract,
     "op4_minhash": op4_minhash,
+    "op5_token_counts": op5_token_counts,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_license_scan": op9_license_scan,
+    "op10_bpe": op10_bpe,
 }
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -78,4 +135,24 @@ ORACLE_SQL = {
                    substr(x, CAST(CASE WHEN k = 0 THEN 0 ELSE sb[k] END * 2 + 1 AS BIGINT),
                           CAST((CASE WHEN k = spans THEN strlen(x) / 2 ELSE sa[k + 1] END - CASE WHEN k = 0 THEN 0 ELSE sb[k] END) * 2 AS BIGINT))), '') END)) AS kept_sha256
         FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id""",
+    "op8_decontaminate": """
+        WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        b AS (SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+        item AS (SELECT item_id, w, len(w) AS m, least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+        gram AS (SELECT item_id, m, k, array_to_string(w[i:i + k - 1], ' ') AS s, count(*) AS c
+                 FROM item, unnest(range(1, m - k + 2)) AS t(i) GROUP BY ALL),
+        place AS (SELECT doc_id, len(w) AS n, k, i - 1 AS p, array_to_string(w[i:i + k - 1], ' ') AS s
+                  FROM d, (SELECT DISTINCT k FROM item) AS kk, unnest(range(1, len(w) - k + 2)) AS t(i)),
+        hit AS (SELECT doc_id, n, item_id, m, k, p FROM place JOIN gram USING (k, s)),
+        win AS (SELECT doc_id, item_id, m, k, least(m, n) AS z, st, count(*) AS shared
+                FROM hit, unnest(range(greatest(p + k - least(m, n), 0), least(p, n - least(m, n)) + 1)) AS t(st) GROUP BY ALL
+                HAVING count(*) * 2 >= least(m, n) - k + 1),
+        inner_gram AS (SELECT doc_id, item_id, m, k, st, z, array_to_string(w[st + i:st + i + k - 1], ' ') AS s, count(*) AS c
+                       FROM win JOIN d USING (doc_id), unnest(range(1, z - k + 2)) AS t(i) GROUP BY ALL),
+        score AS (SELECT x.doc_id, x.item_id, x.m, x.st, x.z - x.k + 1 AS t1, x.m - x.k + 1 AS t2, sum(least(x.c, g.c)) AS s
+                  FROM inner_gram x JOIN gram g ON g.item_id = x.item_id AND g.s = x.s AND g.m = x.m GROUP BY ALL),
+        best AS (SELECT doc_id, item_id, st, m, s / (t1 + t2 - s) AS v FROM score WHERE s / (t1 + t2 - s) >= 0.8)
+        SELECT doc_id, item_id, CAST(arg_max(st, [v, -st]) AS INTEGER) AS start_word, CAST(arg_max(m, [v, -st]) AS INTEGER) AS n_words,
+               CAST(max(v) AS DOUBLE) AS similarity
+        FROM best GROUP BY doc_id, item_id""",
 }

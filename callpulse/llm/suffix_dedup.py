@@ -218,28 +218,36 @@ def _sorted_repeats(size: int):
     return run
 
 
+def _kept(texts: pa.Array, runs: pa.Array, size: int):
+    """For pieces of rows: first row, offsets, removed bytes and spans per row, and the kept bytes of each row."""
+    whole, off_all = K.utf8(texts)
+    for a, b in K.pieces(off_all):
+        data, off = whole[off_all[a] : off_all[b]], off_all[a : b + 1] - off_all[a]
+        part = runs.slice(a, b - a)
+        row = np.repeat(np.arange(b - a), np.asarray(pa.compute.fill_null(pa.compute.list_value_length(part), 0)))
+        flat = part.flatten()
+        lo = off[row] + flat.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
+        hi = np.minimum(lo + flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64) + size - 1, off[row + 1])
+        d = np.bincount(lo, minlength=len(data) + 1) - np.bincount(hi, minlength=len(data) + 1)
+        gone = np.cumsum(d[: len(data)]) > 0
+        starts = gone.copy()
+        starts[1:] &= ~gone[:-1]
+        edge = off[1:-1][off[1:-1] < len(data)]
+        starts[edge] = gone[edge]
+        total, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, starts))
+        kept = [data[x:y][~gone[x:y]].tobytes() for x, y in zip(off[:-1].tolist(), off[1:].tolist())]
+        yield a, b, off, total[off[1:]] - total[off[:-1]], spans[off[1:]] - spans[off[:-1]], kept
+
+
 def _results(size: int, texts: bool):
     def run(batches):
         for batch in batches:
-            for a, b, data, off in _pieces(batch):
-                runs = batch.column("runs").slice(a, b - a)
-                row = np.repeat(np.arange(b - a), np.asarray(pa.compute.fill_null(pa.compute.list_value_length(runs), 0)))
-                flat = runs.flatten()
-                lo = off[row] + flat.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
-                hi = np.minimum(lo + flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64) + size - 1, off[row + 1])
-                d = np.bincount(lo, minlength=len(data) + 1) - np.bincount(hi, minlength=len(data) + 1)
-                gone = np.cumsum(d[: len(data)]) > 0
-                starts = gone.copy()
-                starts[1:] &= ~gone[:-1]
-                edge = off[1:-1][off[1:-1] < len(data)]
-                starts[edge] = gone[edge]
-                total, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, starts))
-                kept = [data[x:y][~gone[x:y]].tobytes() for x, y in zip(off[:-1].tolist(), off[1:].tolist())]
+            for a, b, off, removed, spans, kept in _kept(batch.column("text"), batch.column("runs"), size):
                 cols = [
                     batch.column("doc_id").slice(a, b - a),
                     pa.array(np.diff(off)),
-                    pa.array(total[off[1:]] - total[off[:-1]]),
-                    pa.array(spans[off[1:]] - spans[off[:-1]]),
+                    pa.array(removed),
+                    pa.array(spans),
                     pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
                 ]
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -251,10 +259,23 @@ def _results(size: int, texts: bool):
     return run
 
 
-def remove_repeated_bytes(docs: DataFrame, size: int = SIZE, texts: bool = True, work: Workspace | None = None) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept_text."""
-    work = work or Workspace(docs.sparkSession, "suffix-dedup")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _stripped(size: int):
+    """The text of each row replaced by what is kept of it, as column __kept."""
+
+    def run(batches):
+        for batch in batches:
+            out = [x.decode("utf-8", "ignore") for *_, kept in _kept(batch.column("text"), batch.column("__runs"), size) for x in kept]
+            i = batch.schema.get_field_index("text")
+            null = batch.column("text").is_null().to_pylist()
+            text = pa.array([None if z else x for x, z in zip(out, null)], pa.string())
+            names = batch.schema.names[:-1]
+            yield pa.RecordBatch.from_arrays([text if k == i else batch.column(k) for k in range(len(names))], names)
+
+    return run
+
+
+def repeated_runs(docs: DataFrame, size: int, work: Workspace) -> DataFrame:
+    """doc, runs: starts (at) and numbers (n) of consecutive size-byte strings that occur earlier; docs: doc_id, text."""
     named = docs.where("doc_id is not null")
     grams = work.table(named.mapInArrow(_gram_rows(size), "h long, doc long, n int"), "grams")
     shared = grams.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
@@ -290,5 +311,27 @@ def remove_repeated_bytes(docs: DataFrame, size: int = SIZE, texts: bool = True,
     )
     for name in ("blocks", "first", "cut"):
         work.delete(name)
+    return runs
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def remove_repeated_bytes(docs: DataFrame, size: int = SIZE, texts: bool = True, work: Workspace | None = None) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept_text."""
+    docs = _plain(docs)
+    runs = repeated_runs(docs, size, work or Workspace(docs.sparkSession, "suffix-dedup"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if texts else "")
     return docs.join(runs, docs.doc_id == runs.doc, "left").select("doc_id", "text", "runs").mapInArrow(_results(size, texts), schema)
+
+
+def strip_repeated_bytes(docs: DataFrame, size: int = SIZE, work: Workspace | None = None) -> DataFrame:
+    """The same rows and columns with every repeated byte taken out of text (an n_chars column follows it)."""
+    runs = repeated_runs(_plain(docs), size, work or Workspace(docs.sparkSession, "suffix-dedup"))
+    runs = runs.select(F.col("doc").alias("__doc"), F.col("runs").alias("__runs"))
+    joined = docs.join(runs, docs["doc_id"] == runs["__doc"], "left").drop("__doc")
+    out = joined.mapInArrow(_stripped(size), docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out
