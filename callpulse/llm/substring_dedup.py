@@ -11,7 +11,7 @@ Steps:
 1. hash the anchors of every document (one row per document and hash);
 2. anchors found in two documents or more go back to their documents, where
    they are extended: the windows that contain one are the candidates;
-3. 128-bit hashes of the candidate windows give the smallest doc_id of each
+3. 96-bit hashes of the candidate windows give the smallest doc_id of each
    word sequence; windows that start in a larger doc_id are repeats;
 4. every word covered by a repeat is removed.
 
@@ -147,9 +147,9 @@ def _window_rows(window: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(h1.view(np.int64)),
-                        pa.array(h2.view(np.int64)),
+                        pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(docs[a:b][t.row[s]].astype(np.int64)),
-                        pa.array(t.index[s]),
+                        pa.array(t.index[s].astype(np.int32)),
                     ],
                     ["h1", "h2", "doc", "pos"],
                 )
@@ -198,7 +198,7 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, texts: bool
     work.delete("anchors")
     windows = work.table(
         named.join(lists, named.doc_id == lists.doc).select("doc_id", "text", "hs").mapInArrow(
-            _window_rows(window), "h1 long, h2 long, doc long, pos long"
+            _window_rows(window), "h1 long, h2 int, doc long, pos int"
         ),
         "windows",
     )
