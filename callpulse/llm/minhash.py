@@ -11,9 +11,12 @@
    doc_id. Pairs whose collision-corrected similarity, from bit counts over the
    signatures, is far below the threshold are passed over (``SLACK`` is more
    than five standard deviations); the others are confirmed on full sets.
-4. Connected components of the confirmed links. Only pairs of one bucket that
-   are still in different components can add a link; these are tested too, so
-   no link between candidates is lost.
+4. Connected components of the confirmed links. A bucket whose members are all
+   in one component can add nothing. For the members of the other buckets the
+   remaining links are found by an exact prefix filter: with shingles ordered
+   from rare to frequent, two sets of similarity t share one of their first
+   n - ceil(t n) + 1 shingles, early enough in both that enough places follow. Only pairs from different components are made,
+   so no link between candidates is lost and no group is expanded into pairs.
 
 At a similarity of 0.8 a pair misses all bands with probability
 (1 - 0.8**4)**32 = 5e-8. Similarity is compared in whole numbers
@@ -30,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpulse.llm import kernels as K
@@ -193,6 +196,44 @@ def components(links: DataFrame, work: Workspace, label: str) -> DataFrame:
             return label_now
 
 
+def _exploded(batches):
+    for batch in batches:
+        items = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("items")]
+        n = np.array([len(x) for x in items])
+        row = pa.array(np.repeat(np.arange(len(n)), n))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).take(row) for c in ("doc", "comp")] + [pa.array(np.repeat(n, n)), pa.array(np.concatenate(items) if len(n) else [], pa.int64())],
+            ["doc", "comp", "n", "item"],
+        )
+
+
+def _prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """Pairs (u, v) from different components that share a shingle of their prefixes."""
+    items = docs.join(sets, "doc").select("doc", "comp", "items").mapInArrow(_exploded, "doc long, comp long, n long, item long")
+    items = work.table(items, "items")
+    often = items.groupBy("item").agg(F.count("*").alias("often")).where("often > 1")
+    rare_first = Window.partitionBy("doc").orderBy("often", "item")
+    shared = items.join(often, "item").withColumn("k", F.row_number().over(rare_first)).withColumn("k_all", F.count("*").over(Window.partitionBy("doc")))
+    # shingles of no other document come first and take places of the prefix
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("k_all"))
+    place = F.col("k") + F.col("n") - F.col("k_all")
+    prefix = shared.where(F.col("k") <= room).select("doc", "comp", "item", "n", place.alias("place"))
+    weight = docs.groupBy("comp").agg(F.count("*").alias("weight"))
+    prefix = work.table(prefix.join(weight, "comp").select("doc", "item", "n", "place", F.struct("weight", "comp").alias("c")), "prefix")
+    # of two components the lighter one asks; the heaviest of a shingle never does
+    top = prefix.groupBy("item").agg(F.max("c").alias("top"))
+    asks = prefix.join(top, "item").where("c < top").alias("x")
+    all_of = prefix.alias("y")
+    # at the first shared shingle at most the places from there on can agree
+    rest = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    return (
+        asks.join(all_of, (F.col("x.item") == F.col("y.item")) & (F.col("x.c") < F.col("y.c"))
+                  & ((100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))))
+        .select(F.least("x.doc", "y.doc").alias("u"), F.greatest("x.doc", "y.doc").alias("v"))
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, work: Workspace | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     work = work or Workspace(docs.sparkSession, "minhash")
@@ -233,16 +274,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     star = members.where("doc <> hub").select(F.col("hub").alias("u"), F.col("doc").alias("v")).distinct()
     links = confirm(star, "links")
     comp = components(links, work, "star")
-    # what the hubs left apart: pairs of one bucket in different components
-    at = members.join(comp, "doc", "left").select("key", "doc", "hub", F.coalesce("comp", "doc").alias("comp"))
+    # what the hubs left apart: buckets with members of different components
+    at = members.join(comp, "doc", "left").select("key", "doc", F.coalesce("comp", "doc").alias("comp"))
     open_keys = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    left = work.table(at.join(open_keys, "key").where("doc <> hub"), "open")
-    rest = (
-        left.alias("a")
-        .join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.doc") < F.col("b.doc")) & (F.col("a.comp") != F.col("b.comp")))
-        .select(F.col("a.doc").alias("u"), F.col("b.doc").alias("v"))
-        .distinct()
-    )
+    left = work.table(at.join(open_keys, "key").select("doc", "comp").distinct(), "open")
+    rest = _prefix_pairs(left, sets, percent, work)
     more = confirm(rest, "more")
     if more.limit(1).count():
         comp = components(links.union(more), work, "all")
