@@ -93,7 +93,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
         "items",
     )
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most SHINGLE values
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("ws"))
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = texts.select("doc_id", words(F.col("text")).alias("ws"))
     empty = "doc_id long, item_id long, start_word int, n_words int, similarity double"
     if not sizes:
         return spark.createDataFrame([], empty)
@@ -131,7 +132,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     asked = work.table(windows.groupBy("doc_id").agg(F.collect_list(F.struct("m", "k", "start", "size")).alias("w")), "windows")
 
     # 2. SimHash of windows and items, joined by blocks
-    whole = docs.join(asked, "doc_id").dropDuplicates(["doc_id"])
+    # a merge join at every size: the side that grows with the documents is never broadcast
+    whole = texts.join(asked.hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "w", words(F.col("text")).alias("ws"))
     each = whole.select("doc_id", "ws", F.explode("w").alias("w")).select("doc_id", "w.m", "w.k", "w.start", F.slice("ws", F.col("w.start") + 1, F.col("w.size")).alias("ws"))
     grams = work.table(
         _by_size(each, sizes, F.col("k")).groupBy("doc_id", "m", "start", "h").agg(F.count("*").cast("int").alias("c")), "grams"
