@@ -204,7 +204,7 @@ def test_licences(spark, no_docs):
     for r in got:
         if r.doc_id == 1:
             assert rows[0][1].encode()[r.start_byte : r.end_byte] == b"Released under the MIT License"
-    half = license_matches(spark.createDataFrame([(8, "Released below the MIT License")], "doc_id long, text string"), coverage=0.8).collect()
+    half = license_matches(spark.createDataFrame([(8, "Released under the MIT Licence")], "doc_id long, text string"), coverage=0.8).collect()
     assert [r.coverage for r in half] == [0.8]
     assert license_matches(no_docs).count() == 0 and license_matches(spark.createDataFrame(rows, "doc_id long, text string"), {}).count() == 0
 
