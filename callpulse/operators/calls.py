@@ -87,15 +87,16 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint
     return c.join(lab, cond).drop("_acc")
 
 
-# Total order of calls inside a KEY packed in one long: microseconds since 2000 (49-51 bits
-# until 2070), then the call id modulo 4096 (12 bits) to separate equal start times.
-_ORDER_EPOCH = "2000-01-01 00:00:00"
-_ORDER_TIE_BITS = 4096
+# Total order of calls inside a KEY, (start time, call id), as one decimal: microseconds since
+# 1970 shifted by 20 digits, more than any call id has. Decimals keep the aggregation hash-based.
+_ORDER_EPOCH = "1970-01-01 00:00:00"
+_ORDER_SHIFT = "1" + "0" * 20
 
 
 def call_order():
     us = F.timestamp_diff("MICROSECOND", F.lit(_ORDER_EPOCH).cast("timestamp_ntz"), F.col("start_time"))
-    return us * _ORDER_TIE_BITS + F.pmod(F.col("call_id"), F.lit(_ORDER_TIE_BITS))
+    high = us.cast("decimal(17,0)") * F.lit(_ORDER_SHIFT).cast("decimal(21,0)")
+    return (high + F.col("call_id").cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def _last(name: str, value, cond, order):

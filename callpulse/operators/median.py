@@ -41,28 +41,19 @@ def exact_medians(
     weight: str | None = None,
     buckets: int = 256,
     accuracy: int = 10000,
-    single_pass_max_rows: int = 1_000_000,
 ) -> dict[str, float | None]:
-    """Exact medians of ``cols`` (each row counted ``weight`` times).
-
-    Inputs of at most ``single_pass_max_rows`` rows (checked by a count) use
-    Spark's exact ``percentile`` in one pass: its state is then bounded by
-    that row count. Larger inputs take the three bounded passes.
-    """
+    """Exact medians of ``cols`` (each row counted ``weight`` times); nulls and NaN do not count."""
     cols = list(cols)
     spark = df.sparkSession
     w = (F.col(weight) if weight else F.lit(1)).cast("long")
     xs = [f"_x{i}" for i in range(len(cols))]
     base = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs)], w.alias("_w"))
-    if base.limit(single_pass_max_rows + 1).count() <= single_pass_max_rows:
-        row = base.agg(*[F.percentile(x, F.lit(0.5), F.col("_w")).alias(x) for x in xs]).first()
-        return {c: row[x] for c, x in zip(cols, xs)}
     qs = [j / buckets for j in range(1, buckets)]
 
     # pass 1: totals and sketch boundaries (one row)
     row = base.agg(
-        *[F.sum(F.when(F.col(x).isNotNull(), F.col("_w"))).alias(f"W{i}") for i, x in enumerate(xs)],
-        *[F.percentile_approx(x, qs, accuracy).alias(f"B{i}") for i, x in enumerate(xs)],
+        *[F.sum(F.when(F.col(x).isNotNull() & ~F.isnan(x), F.col("_w"))).alias(f"W{i}") for i, x in enumerate(xs)],
+        *[F.percentile_approx(F.nanvl(F.col(x), F.lit(None).cast("double")), qs, accuracy).alias(f"B{i}") for i, x in enumerate(xs)],
     ).first()
     result: dict[str, float | None] = {c: None for c in cols}
     live = [i for i in range(len(cols)) if row[f"W{i}"]]

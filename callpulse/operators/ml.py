@@ -1,7 +1,8 @@
 """Model steps with ``pyspark.ml``: label, class weights, split, random forest, scoring.
 
-The split is deterministic and by opportunity: all rows of one opportunity
-land on the same side, so shifted copies of a label cannot leak across.
+The split is deterministic, by opportunity and stratified: all rows of one
+opportunity land on the same side, so shifted copies of a label cannot leak
+across, and each class gives the same share of its opportunities to the test.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpulse.config import KEY, MODEL_FEATURES, Config
+from callpulse.session import materialize
+
+HASH_SLOTS = 10000
 
 SCORE_COLUMNS = (
     "account_id",
@@ -46,7 +50,7 @@ def training_rows(matrix: DataFrame, cfg: Config) -> DataFrame:
 
 
 def class_weights(rows: DataFrame) -> DataFrame:
-    """Balanced weights n / (k * n_class), one row per class."""
+    """Balanced weights n / (k * n_class), one row per class, of the rows given (the train side)."""
     counts = rows.groupBy("is_good").agg(F.count(F.lit(1)).alias("n_class"))
     w = Window.partitionBy()  # over the k class rows only
     return counts.select(
@@ -57,10 +61,18 @@ def class_weights(rows: DataFrame) -> DataFrame:
 
 
 def split_flag(rows: DataFrame, cfg: Config) -> DataFrame:
-    """``is_test`` from a hash of the opportunity id and the seed."""
+    """``is_test``, stratified: within each class (an opportunity is good if one of its rows is) the
+    opportunities with the lowest hashes, as many as fit ``test_fraction`` of the class.
+
+    The hash has ``HASH_SLOTS`` values, so the running counts are over at most that many rows a class.
+    """
     h = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("opp_id").cast("string"), F.lit(str(cfg.seed)))), 1, 8), 16, 10)
-    u = (h.cast("bigint") % 10000) / 10000.0
-    return rows.withColumn("is_test", u < cfg.test_fraction)
+    opps = rows.groupBy("opp_id").agg(F.max("is_good").alias("_good")).withColumn("_slot", h.cast("bigint") % HASH_SLOTS)
+    slots = opps.groupBy("_good", "_slot").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("_good")
+    taken = F.sum("n").over(whole.orderBy("_slot")) <= cfg.test_fraction * F.sum("n").over(whole)
+    sides = opps.join(slots.select("_good", "_slot", taken.alias("is_test")), ["_good", "_slot"])
+    return rows.join(sides.select("opp_id", "is_test"), "opp_id")
 
 
 def correlated_features(rows: DataFrame, threshold: float = 0.85, features=MODEL_FEATURES) -> DataFrame:
@@ -105,19 +117,21 @@ def _pipeline(cfg: Config) -> Pipeline:
 
 def train(matrix: DataFrame, cfg: Config) -> tuple[PipelineModel, DataFrame]:
     """Fit on the train side; metrics frame with AUC on hard predictions (as reported) and on probabilities."""
-    rows = split_flag(training_rows(matrix, cfg), cfg)
-    rows = rows.join(F.broadcast(class_weights(rows).select("is_good", "weight")), "is_good")
-    rows = rows.withColumn("label", F.col("is_good").cast("double"))
+    rows = materialize(split_flag(training_rows(matrix, cfg), cfg))  # read by the weights, the fit and the scoring
+    weights = class_weights(rows.where(~F.col("is_test"))).select("is_good", "weight")
+    rows = rows.join(weights, "is_good", "left").withColumn("label", F.col("is_good").cast("double"))
     model = _pipeline(cfg).fit(rows.where(~F.col("is_test")))
-    pred = model.transform(rows)
+    scored = model.transform(rows).select("label", "is_test", "prediction", vector_to_array("probability")[1].alias("rawPrediction"))
+    pred = materialize(scored)  # the forest is applied once, four evaluations read it
+    sizes = {(r["is_test"], r["label"]): r["n"] for r in pred.groupBy("is_test", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     ev_pred = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="prediction", metricName="areaUnderROC")
     ev_prob = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     metrics = {}
     for side, cond in (("train", ~F.col("is_test")), ("test", F.col("is_test"))):
         part = pred.where(cond)
-        n = part.count()
-        metrics[f"n_{side}"] = n
-        two = part.select("label").distinct().count() == 2
+        own = [n for (test, _), n in sizes.items() if test == (side == "test")]
+        metrics[f"n_{side}"] = sum(own)
+        two = len(own) == 2
         metrics[f"auc_{side}_prediction"] = ev_pred.evaluate(part) if two else None
         metrics[f"auc_{side}_probability"] = ev_prob.evaluate(part) if two else None
     spark = matrix.sparkSession

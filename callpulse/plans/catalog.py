@@ -308,7 +308,7 @@ def q_label_is_good(spark, sf_dir):
 
 def q_class_weights(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return ML.class_weights(ML.training_rows(c.matrix, c.cfg))
+    return ML.class_weights(ML.split_flag(ML.training_rows(c.matrix, c.cfg), c.cfg).where("not is_test"))
 
 
 def q_stratified_split(spark, sf_dir):
@@ -381,14 +381,14 @@ def q_name_fold(spark, sf_dir):
 
 def q_train_score(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    cfg = Config(num_trees=20)
+    cfg = Config()
     model, metrics = ML.train(c.matrix, cfg)
     return metrics
 
 
 def q_score_output(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    cfg = Config(num_trees=20)
+    cfg = Config()
     model, _ = ML.train(c.matrix, cfg)
     return ML.score_output(model, ML.scoring_matrix(c, cfg), cfg)
 

@@ -296,7 +296,7 @@ FROM cw GROUP BY {K}""",
 
 def _last_nonnull(col: str, name: str) -> str:
     return f"""SELECT {K}, {col} AS {name} FROM (
-  SELECT {K}, {col}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id % 4096 DESC) AS rn
+  SELECT {K}, {col}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id DESC) AS rn
   FROM cw WHERE {col.split(',')[0]} IS NOT NULL) x WHERE rn = 1"""
 
 
@@ -306,7 +306,7 @@ _cte(
     "k_last_pun",
     ("cw",),
     f"""SELECT {K}, {PUNCT} FROM (
-  SELECT {K}, {PUNCT}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id % 4096 DESC) AS rn
+  SELECT {K}, {PUNCT}, row_number() OVER (PARTITION BY {K} ORDER BY start_time DESC, call_id DESC) AS rn
   FROM cw WHERE no_show IS NOT NULL) x WHERE rn = 1""",
 )
 
@@ -650,6 +650,12 @@ def _raw_cols(cols) -> str:
 def build() -> dict[str, str]:
     from callpulse.plans.catalog import CRM_CLEAN_COLUMNS, RAW_VIEWS
 
+    split = f"""SELECT {K}, is_good, is_test FROM train_rows JOIN (
+  SELECT opp_id, taken <= {CFG.test_fraction} * total AS is_test FROM (
+    SELECT opp_id, good, count(*) OVER (PARTITION BY good ORDER BY slot) AS taken, count(*) OVER (PARTITION BY good) AS total
+    FROM (SELECT opp_id, bool_or(is_good) AS good,
+                 CAST(('0x' || substr(md5(CAST(opp_id AS VARCHAR) || '|' || '{CFG.seed}'), 1, 8)) AS BIGINT) % 10000 AS slot
+          FROM train_rows GROUP BY opp_id) o) r) sides USING (opp_id)"""
     q: dict[str, tuple[list[str], str]] = {
         "day_round": (["reviews"], f"SELECT review_id, review_ts, {rd('review_ts')} AS ref_day FROM reviews"),
         "floor_days": (
@@ -693,16 +699,10 @@ def build() -> dict[str, str]:
         "label_is_good": _rows("label_good", f"{K}, rating, is_good"),
         "class_weights": (
             ["train_rows"],
-            """SELECT is_good, n_class, sum(n_class) OVER () / (count(*) OVER () * n_class) AS weight
-FROM (SELECT is_good, count(*) AS n_class FROM train_rows GROUP BY is_good) c""",
-        ),
-        "stratified_split": (
-            ["train_rows"],
-            f"""SELECT {K}, is_good,
-       (CAST(('0x' || substr(md5(CAST(opp_id AS VARCHAR) || '|' || '{CFG.seed}'), 1, 8)) AS BIGINT) % 10000)
-         / 10000.0 < {CFG.test_fraction} AS is_test
-FROM train_rows""",
+            f"""SELECT is_good, n_class, sum(n_class) OVER () / (count(*) OVER () * n_class) AS weight
+FROM (SELECT is_good, count(*) AS n_class FROM ({split}) s WHERE NOT is_test GROUP BY is_good) c""",
         ),
+        "stratified_split": (["train_rows"], split),
         "correlated_features": (["corr_pairs"], "SELECT * FROM corr_pairs WHERE abs(corr) > 0.85 AND NOT isnan(corr)"),
         "review_csv_roundtrip": _rows("labels_train"),
         "latest_scores": _rows("latest_scores"),

@@ -67,14 +67,15 @@ FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""",
 _cte(
     "project_bounds",
     (),
-    "SELECT o_custkey, min(o_orderkey) AS p_lo, max(o_orderkey) AS p_hi FROM orders GROUP BY o_custkey",
+    """SELECT o_custkey, o_orderkey AS project_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS nth,
+       count(*) OVER (PARTITION BY o_custkey) AS n_orders FROM orders""",
 )
 
 _cte(
     "calls",
     ("n_agents", "agents", "project_bounds"),
     f"""SELECT e.event_id AS call_id,
-       CASE WHEN e.event_id % 2 = 0 THEN pb.p_lo ELSE pb.p_hi END AS project_id,
+       pb.project_id AS project_id,
        e.ts AS start_time,
        CASE WHEN e.event_id % 29 = 0 THEN NULL
             WHEN e.event_type IN ('purchase', 'view') THEN 'out' ELSE 'in' END AS direction,
@@ -85,7 +86,7 @@ _cte(
        CASE WHEN e.event_id % 13 = 0 THEN NULL ELSE a.email END AS users_email,
        a.manager_name
 FROM events e
-LEFT JOIN project_bounds pb ON e.user_id = pb.o_custkey
+LEFT JOIN project_bounds pb ON e.user_id = pb.o_custkey AND e.event_id % pb.n_orders = pb.nth
 LEFT JOIN agents a ON a.user_id = {AGENT_OF.format(u='e.user_id', e='e.event_id')}""",
 )
 
@@ -158,8 +159,7 @@ _cte(
        CASE WHEN l.l_partkey % 17 = 0
             THEN c.created_at + {_days('l.l_partkey % 80')} + {_hours('l.l_suppkey % 24')} + {_days('-1461')}
             ELSE c.created_at + {_days('l.l_partkey % 80')} + {_hours('l.l_suppkey % 24')} END AS review_ts
-FROM lineitem l JOIN opps_core c ON l.l_orderkey = c.opp_id
-WHERE l.l_linenumber <= 3""",
+FROM lineitem l JOIN opps_core c ON l.l_orderkey = c.opp_id""",
 )
 
 _cte(
@@ -191,12 +191,11 @@ _cte(
     "tasks",
     ("n_agents", "project_bounds"),
     f"""SELECT e.event_id AS task_id,
-       CASE WHEN e.event_id % 2 = 0 THEN pb.p_lo ELSE pb.p_hi END AS opp_id,
+       pb.project_id AS opp_id,
        {AGENT_OF.format(u='e.user_id', e='e.event_id')} AS owner_id,
        e.ts AS created_at,
        {_list(TASK_SUBJECTS)}[e.event_id % 5 + 1] AS subject
-FROM events e LEFT JOIN project_bounds pb ON e.user_id = pb.o_custkey
-WHERE e.event_type <> 'error'""",
+FROM events e LEFT JOIN project_bounds pb ON e.user_id = pb.o_custkey AND e.event_id % pb.n_orders = pb.nth""",
 )
 
 _cte(
@@ -214,9 +213,9 @@ _cte(
 )
 
 _SCORED = """SELECT e.event_id, e.user_id AS account_id,
-       CASE WHEN e.event_id % 2 = 0 THEN pb.p_lo ELSE pb.p_hi END AS opp_id,
+       pb.project_id AS opp_id,
        CAST(CAST(e.ts AS DATE) AS TIMESTAMP) AS date_pred, e.value
-FROM events e LEFT JOIN project_bounds pb ON e.user_id = pb.o_custkey
+FROM events e LEFT JOIN project_bounds pb ON e.user_id = pb.o_custkey AND e.event_id % pb.n_orders = pb.nth
 WHERE e.event_type = '{etype}'{extra}"""
 
 _cte(

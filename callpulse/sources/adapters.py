@@ -13,7 +13,7 @@ window is partitioned by a possibly hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpulse.functions.timefns import add_days, add_hours
@@ -62,23 +62,19 @@ def agents(t: Tables) -> DataFrame:
     )
 
 
-def _project_bounds(t: Tables) -> DataFrame:
-    """First and last opportunity key per customer (partial aggregation)."""
-    return t.orders.groupBy("o_custkey").agg(
-        F.min("o_orderkey").alias("p_lo"), F.max("o_orderkey").alias("p_hi")
-    )
-
-
-def _project_pick(event_id: Column) -> Column:
-    return F.when(event_id % 2 == 0, F.col("p_lo")).otherwise(F.col("p_hi"))
-
-
 def _events_with_project(t: Tables, where: Column | None = None) -> DataFrame:
+    """Events with ``project_id``: of the customer's n orders, in key order, the one numbered event_id modulo n."""
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     if where is not None:
         ev = ev.where(where)
-    pb = _project_bounds(t)
-    return ev.join(pb, ev.user_id == pb.o_custkey, "left")
+    count = t.orders.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count(F.lit(1)).alias("n_orders"))
+    order = t.orders.select(
+        F.col("o_custkey").alias("user_id"),
+        (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).cast("bigint").alias("nth"),
+        F.col("o_orderkey").alias("project_id"),
+    )
+    ev = ev.join(count, "user_id", "left").withColumn("nth", F.col("event_id") % F.col("n_orders"))
+    return ev.join(order, ["user_id", "nth"], "left").drop("nth", "n_orders")
 
 
 def calls(t: Tables) -> DataFrame:
@@ -90,7 +86,7 @@ def calls(t: Tables) -> DataFrame:
     c = c.join(a, "agent_id", "left")
     return c.select(
         e.alias("call_id"),
-        _project_pick(e).alias("project_id"),
+        F.col("project_id"),
         F.col("ts").alias("start_time"),
         F.when(e % 29 == 0, F.lit(None).cast("string"))
         .when(F.col("event_type").isin("purchase", "view"), F.lit("out"))
@@ -189,7 +185,7 @@ def opp_stages(t: Tables) -> DataFrame:
 
 def reviews(t: Tables) -> DataFrame:
     """Customer reviews of three sources: (review_id, opp_id, account_id, source, rating, review_ts)."""
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").where(F.col("l_linenumber") <= 3)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     core = opps_core(t).select("opp_id", "account_id", "created_at")
     j = li.join(core, li.l_orderkey == core.opp_id)
     P = F.col("l_partkey")
@@ -247,10 +243,10 @@ def tasks(t: Tables) -> DataFrame:
     """CRM tasks (logged calls): (task_id, opp_id, owner_id, created_at, subject)."""
     n = _n_agents(t)
     e = F.col("event_id")
-    ev = _events_with_project(t, F.col("event_type") != "error")
+    ev = _events_with_project(t)
     return ev.select(
         e.alias("task_id"),
-        _project_pick(e).alias("opp_id"),
+        F.col("project_id").alias("opp_id"),
         _agent_of(F.col("user_id"), e, n).alias("owner_id"),
         F.col("ts").alias("created_at"),
         _pick(TASK_SUBJECTS, e % 5).alias("subject"),
@@ -284,7 +280,7 @@ def _scored_events(t: Tables, event_type: str, where: Column | None = None) -> D
     return ev.select(
         e.alias("event_id"),
         F.col("user_id").alias("account_id"),
-        _project_pick(e).alias("opp_id"),
+        F.col("project_id").alias("opp_id"),
         F.to_date("ts").cast("timestamp_ntz").alias("date_pred"),
         F.col("value"),
     )
