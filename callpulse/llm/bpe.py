@@ -10,7 +10,8 @@ root holds no pair. Short pre-tokens share one array of trees and merge side by
 side; long ones have a tree of their own.
 
 Results of pre-tokens are kept in two generations of about ``CACHE`` entries
-per Python worker; the older one is given up when the younger is full.
+per task; the older one is given up when the younger is full, and both at the
+end of the task, so that a reused Python worker does not hold them.
 
 Edge cases: null and empty texts have no tokens; a pre-token may be as long as
 its text; rows are independent, so repeated rows, missing ids and other columns
@@ -30,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 250_000
+CACHE = 120_000
 SIDE_BY_SIDE = 64
 NONE = np.int64(1) << np.int64(62)
 PLACE_BITS = 32
@@ -257,6 +258,9 @@ class Tokenizer:
         self.learn(new - again)
         return parts
 
+    def forget(self) -> None:
+        self.ids, self.raw, self.old = {}, {}, ({}, {})
+
     def encode(self, text: str) -> list[int]:
         (parts,) = self.prepare([text])
         return numbers("".join(map(self.ids.__getitem__, parts)))
@@ -312,6 +316,7 @@ def _encoded(path: str, with_ids: bool):
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
+        tok.forget()
 
     return run
 

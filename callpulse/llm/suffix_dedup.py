@@ -45,7 +45,7 @@ from callpulse.llm.workspace import Workspace
 
 SIZE = 100
 GRAM = 24
-LOT = 1 << 21
+LOT = 1 << 19
 
 
 def _gram(size: int) -> int:

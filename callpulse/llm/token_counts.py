@@ -35,6 +35,7 @@ def _lengths(path: str):
                 parts = tok.prepare([t or "" for t in texts[a:b]])
                 n = [sum([x.count(",") for x in map(tok.ids.__getitem__, p)]) for p in parts]
                 yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["length"])
+        tok.forget()
 
     return run
 

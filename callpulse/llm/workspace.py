@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +28,8 @@ class Workspace:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        with settings(self.spark, {CLEANUP: "true", **MODEST_BATCHES}):
             df.write.option("compression", "zstd").parquet(path)
-        finally:
-            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self, name: str) -> None:
@@ -49,6 +46,22 @@ class Workspace:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the time of one write; what the session had comes back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Arrow batches of whole texts, small enough for a Python worker to hold several
+MODEST_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: folders of this process that have not been dropped, oldest first

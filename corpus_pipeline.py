@@ -22,42 +22,49 @@ from callpulse.llm.language_id import predict, train
 from callpulse.llm.minhash import near_duplicates
 from callpulse.llm.queries import tokenizer_path
 from callpulse.llm.suffix_dedup import strip_repeated_bytes
-from callpulse.llm.workspace import Workspace, drop_finished
+from callpulse.llm.workspace import MODEST_BATCHES, Workspace, drop_finished
 
 #: not expressible in SQL (trained language profiles, tokenizer); tested against a brute-force version
 ORACLE_SQL = None
 
 
+def _start(spark: SparkSession, docs: DataFrame) -> None:
+    """The tables of earlier stages go, and this job's session sends whole texts in modest Arrow batches."""
+    drop_finished(docs)
+    for key, value in MODEST_BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a recognisable language (no letter) go; a missing lang is filled in."""
-    drop_finished(docs)
+    _start(spark, docs)
     found = predict(docs, train(docs)).where("lang_pred <> 'und'")
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of the smallest doc_id."""
-    drop_finished(docs)
+    _start(spark, docs)
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings that occur earlier in the corpus are taken out of the texts."""
-    drop_finished(docs)
+    _start(spark, docs)
     return strip_repeated_bytes(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    drop_finished(docs)
+    _start(spark, docs)
     gone = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text, with digests of the ids and of the decoded text."""
-    drop_finished(docs)
+    _start(spark, docs)
     return encode_texts(docs, tokenizer_path(), with_ids=True)
 
 
