@@ -57,7 +57,9 @@ def new_alerts(latest: DataFrame, history: DataFrame, cfg: Config) -> DataFrame:
     newest = latest.select(F.max("date_pred")).scalar()
     recent = history.where(floor_days(newest, F.col("date_pred")) < cfg.alert_recent_days).select("opp_id")
     out = latest.join(recent, "opp_id", "left_anti")
-    return out.withColumn("treatment", F.lit("")).select("date_pred", "opp_id", "url", "proba", "treatment")
+    out = out.withColumn("treatment", F.lit("")).select("date_pred", "opp_id", "url", "proba", "treatment")
+    # least satisfied first; sorted here, as a join above a sort need not keep it
+    return out.orderBy(F.col("proba").asc(), F.col("opp_id").asc())
 
 
 def cleared_previous(previous: DataFrame) -> DataFrame:

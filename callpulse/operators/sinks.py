@@ -40,9 +40,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def write_alerts(df: DataFrame, path: str, sort_desc: bool = False) -> None:
-    """Alert tables are written to a new path; never over the path being read."""
+def write_alerts(df: DataFrame, path: str, sort_desc: bool | None = None) -> None:
+    """Alert tables are written to a new path; never over the path being read.
+
+    ``sort_desc``: True sorts by newest date first, False by least satisfied first, None not at all.
+    """
     out = _conform(df, ALERT_SCHEMA)
     if sort_desc:
         out = out.orderBy(F.col("date_pred").desc())
+    elif sort_desc is False:
+        out = out.orderBy(F.col("proba").asc(), F.col("opp_id").asc())
     out.write.mode("overwrite").parquet(path)

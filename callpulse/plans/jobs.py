@@ -1,6 +1,7 @@
 """The three batch jobs: train (twice a month), score (daily), alerts (after scoring).
 
-Each job is one lazy plan per output, written once; paths point to shared storage.
+Each job writes its outputs under one folder on shared storage; the alerts job reads
+what the score job and its own last run wrote there.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from callpulse.operators import alerts as AL
 from callpulse.operators import ml as ML
 from callpulse.operators import sinks as SK
 from callpulse.plans.catalog import Ctx
+from callpulse.session import materialize
 from callpulse.sources import adapters as A
+from callpulse.sources.tables import ALERT_SCHEMA, SCORE_SCHEMA
 
 
 def train_job(spark: SparkSession, sf_dir: str, model_path: str, cfg: Config | None = None):
@@ -33,22 +36,54 @@ def score_job(spark: SparkSession, sf_dir: str, model_path: str, out_root: str,
     if as_of:
         cfg = replace(cfg, as_of=as_of)
     ctx = Ctx(spark, sf_dir, cfg)
-    scores = ML.score_output(SK.load_model(model_path), ML.scoring_matrix(ctx, cfg), cfg)
+    # written once; the table and both copies are derived from it
+    scores = materialize(ML.score_output(SK.load_model(model_path), ML.scoring_matrix(ctx, cfg), cfg))
     SK.append_scores(scores, f"{out_root}/score_table")
     SK.write_scores_csv(scores, f"{out_root}/predictions_latest", f"{out_root}/predictions_by_day")
     return scores
 
 
 def alerts_job(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date | None = None, cfg: Config | None = None):
-    """New alerts of the day and the merged history, written to new paths."""
+    """New alerts of the day and the merged history.
+
+    Reads the score table that ``score_job`` appends to under ``out_root``, and the
+    history and alerts of the newest earlier day; before the first run, the
+    derived tables. Writes to a folder of the run date, so a run never overwrites
+    its input and a repeated day replaces only itself.
+    """
     cfg = cfg or Config()
     if as_of:
         cfg = replace(cfg, as_of=as_of)
     t = Ctx(spark, sf_dir, cfg)
-    latest = AL.alerts_ranked(A.scores(t.t), t.opps, cfg)
-    history = AL.merge_history(A.alert_history(t.t), A.previous_alerts(t.t))
-    new = AL.new_alerts(latest, history, cfg)
-    SK.write_alerts(history, f"{out_root}/alert_history", sort_desc=True)
-    SK.write_alerts(new, f"{out_root}/new_alerts")
-    SK.write_alerts(AL.cleared_previous(A.previous_alerts(t.t)), f"{out_root}/previous_alerts_cleared")
-    return new
+    table = f"{out_root}/score_table"
+    scores = spark.read.schema(SCORE_SCHEMA).parquet(table) if _exists(spark, table) else A.scores(t.t)
+    days = [d for d in _days(spark, f"{out_root}/alerts") if d < str(cfg.as_of)]
+    if days:
+        last = f"{out_root}/alerts/{days[-1]}"
+        history = spark.read.schema(ALERT_SCHEMA).parquet(f"{last}/alert_history")
+        previous = spark.read.schema(ALERT_SCHEMA).parquet(f"{last}/new_alerts")
+    else:
+        history, previous = A.alert_history(t.t), A.previous_alerts(t.t)
+    history = AL.merge_history(history, previous)
+    new = AL.new_alerts(AL.latest_scores(scores, t.opps, cfg), history, cfg)
+    day = f"{out_root}/alerts/{cfg.as_of}"
+    SK.write_alerts(history, f"{day}/alert_history", sort_desc=True)
+    SK.write_alerts(new, f"{day}/new_alerts", sort_desc=False)
+    SK.write_alerts(AL.cleared_previous(previous), f"{day}/previous_alerts_cleared")
+    return spark.read.schema(ALERT_SCHEMA).parquet(f"{day}/new_alerts")
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Names of the day folders, ascending."""
+    fs, p = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []

@@ -44,7 +44,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, taking ``spark.checkpoint.dir`` from the session.
 
-    Only when the session names none (local tests) a scratch folder is created.
+    Only in local mode, where all tasks share the machine, a scratch folder is
+    created if the session names none; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="callpulse-ckpt-", dir=os.environ.get("CALLPULSE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -69,13 +72,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{root}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint a dimension only after checking its row count.
-
-    Beyond ``max_rows`` the frame is returned unchanged and Spark plans a
-    shuffle join (AQE may still switch at run time from the real sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

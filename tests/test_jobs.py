@@ -10,18 +10,29 @@ from callpulse.sources.tables import ALERT_SCHEMA
 SF = "/root/testdata/sf0.01"
 
 
-def test_alerts_job_writes_tables(spark):
+def test_alerts_job_chain_of_two_days(spark):
+    from datetime import timedelta
+
+    from callpulse.config import Config
+
     out = tempfile.mkdtemp(prefix="callpulse-alerts-")
+    day = Config().as_of
     new = alerts_job(spark, SF, out)
-    n_new = new.count()
-    back = spark.read.schema(ALERT_SCHEMA).parquet(f"{out}/new_alerts")
-    assert back.count() == n_new
-    hist = spark.read.parquet(f"{out}/alert_history")
-    assert hist.count() > 0
-    cleared = spark.read.parquet(f"{out}/previous_alerts_cleared")
-    assert cleared.where("treatment <> ''").count() == 0
-    # nothing alerted twice within the recent window
-    assert new.join(hist.select("opp_id").distinct(), "opp_id").where("date_pred IS NULL").count() == 0
+    first = f"{out}/alerts/{day}"
+    rows = spark.read.schema(ALERT_SCHEMA).parquet(f"{first}/new_alerts").collect()
+    assert len(rows) == new.count() > 0
+    assert [(r.proba, r.opp_id) for r in rows] == sorted((r.proba, r.opp_id) for r in rows)
+    hist = spark.read.parquet(f"{first}/alert_history").count()
+    assert hist > 0
+    assert spark.read.parquet(f"{first}/previous_alerts_cleared").where("treatment <> ''").count() == 0
+    # mark one alert as handled, as a user of the list does, then run the next day
+    spark.read.schema(ALERT_SCHEMA).parquet(f"{first}/new_alerts").selectExpr(
+        "date_pred", "opp_id", "url", "proba", f"if(opp_id = {rows[0].opp_id}, 'done', '') AS treatment"
+    ).write.parquet(f"{out}/marked")
+    spark.read.parquet(f"{out}/marked").write.mode("overwrite").parquet(f"{first}/new_alerts")
+    second = alerts_job(spark, SF, out, as_of=day + timedelta(days=1))
+    assert spark.read.parquet(f"{out}/alerts/{day + timedelta(days=1)}/alert_history").count() == hist + 1
+    assert rows[0].opp_id not in {r.opp_id for r in second.collect()}
 
 
 def test_train_then_score_job_writes_outputs(spark):
