@@ -8,15 +8,17 @@ a cover position in both documents, and only |D| of v positions are hashed.
 
 Steps:
 
-1. hash the anchors of every document (one row per document and hash);
-2. anchors found in two documents or more go back to their documents, where
-   they are extended: the windows that contain one are the candidates;
+1. hash the anchors of every document, and its whole word sequence; documents
+   of one sequence (128 bits) are one text from here on, of the smallest doc_id,
+   and lose all their words but for that one;
+2. anchors found in two texts or more go back to their texts, where they are
+   extended: the windows that contain one are the candidates;
 3. 96-bit hashes of the candidate windows give the smallest doc_id of each
    word sequence; windows that start in a larger doc_id are repeats;
 4. every word covered by a repeat is removed.
 
 Hot anchors (a passage in a third of all documents) are pre-aggregated by the
-partial ``groupBy`` and their rows come back by a join that AQE can split.
+partial ``groupBy`` and their rows come back by a join that AQE can split (``splittable``).
 A task holds one piece of text, and lists bounded by one document.
 
 Edge cases: a null text has no words; a text of fewer than ``window`` words
@@ -38,9 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpulse.llm import kernels as K
-from callpulse.llm.workspace import Workspace
+from callpulse.llm.workspace import Workspace, splittable
 
 WINDOW = 50
+#: the place that stands for all words of a document
+WHOLE = -1
 
 
 @lru_cache(maxsize=8)
@@ -93,6 +97,8 @@ def _pieces(batch: pa.RecordBatch):
 
 
 def _anchor_rows(window: int):
+    """Per document of at least ``window`` words: a 128-bit hash of its word sequence and its distinct anchors."""
+
     def run(batches):
         for batch in batches:
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -104,8 +110,19 @@ def _anchor_rows(window: int):
                 h, row = h[order], row[order]
                 keep = np.ones(len(h), bool)
                 keep[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+                h, row = h[keep], row[keep]
+                c1 = K.span_hash(t.hash, t.first[:-1], t.first[1:])
+                c2 = K.span_hash(K.mix(t.hash ^ np.uint64(K.BASE)), t.first[:-1], t.first[1:], K.BASE2)
+                long = np.diff(t.first) >= window  # the others have no anchors
+                ends = np.searchsorted(row, np.flatnonzero(long), "right").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[keep].view(np.int64)), pa.array(docs[a:b][row[keep]].astype(np.int64))], ["h", "doc"]
+                    [
+                        pa.array(docs[a:b][long].astype(np.int64)),
+                        pa.array(c1[long].view(np.int64)),
+                        pa.array(c2[long].view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), ends)), pa.array(h.view(np.int64))),
+                    ],
+                    ["doc", "c1", "c2", "hs"],
                 )
 
     return run
@@ -163,7 +180,8 @@ def _results(window: int, texts: bool):
             for a, b, data, off in _pieces(batch):
                 t = _Texts(data, off)
                 pos, row = _lists(batch.column("pos"), a, b)
-                gone = K.covered(np.unique(pos.astype(np.int64) + t.first[row]), window, len(t.start))
+                gone = K.covered(np.unique((pos.astype(np.int64) + t.first[row])[pos != WHOLE]), window, len(t.start))
+                gone |= np.isin(t.row, row[pos == WHOLE])
                 raw = data.tobytes()
                 n_removed, kept = [], []
                 for r in range(b - a):
@@ -192,10 +210,12 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, texts: bool
     work = work or Workspace(docs.sparkSession, "substring-dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = docs.where("doc_id is not null")
-    anchors = work.table(named.mapInArrow(_anchor_rows(window), "h long, doc long"), "anchors")
-    shared = anchors.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
-    lists = work.table(anchors.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("hs")), "shared")
-    work.delete("anchors")
+    texts_of = work.table(named.mapInArrow(_anchor_rows(window), "doc long, c1 long, c2 long, hs array<long>"), "anchors")
+    reps = work.table(texts_of.groupBy("c1", "c2").agg(F.min("doc").alias("rep")), "reps")
+    anchors = texts_of.select(F.explode("hs").alias("h"), "c1")
+    shared = anchors.groupBy("h").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo < hi").select("h")
+    lists = anchors.join(splittable(shared, "h"), "h").groupBy("c1").agg(F.collect_set("h").alias("hs"))
+    lists = work.table(reps.join(splittable(lists, "c1"), "c1").select(F.col("rep").alias("doc"), "hs"), "shared")
     windows = work.table(
         named.join(lists, named.doc_id == lists.doc).select("doc_id", "text", "hs").mapInArrow(
             _window_rows(window), "h1 long, h2 int, doc long, pos int"
@@ -203,10 +223,11 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, texts: bool
         "windows",
     )
     first = windows.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
-    repeats = work.table(
-        windows.join(first, ["h1", "h2"]).where("doc > lo").groupBy("doc").agg(F.collect_set("pos").alias("pos")), "repeats"
-    )
-    work.delete("windows")
+    later = windows.join(splittable(first, "h1", "h2"), ["h1", "h2"]).where("doc > lo").select("doc", "pos")
+    copies = texts_of.join(reps, ["c1", "c2"]).where("doc > rep").select("doc", F.lit(WHOLE).alias("pos"))
+    repeats = work.table(later.unionByName(copies).groupBy("doc").agg(F.collect_set("pos").alias("pos")), "repeats")
+    for name in ("anchors", "reps", "shared", "windows"):
+        work.delete(name)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if texts else "")
     return docs.join(repeats, docs.doc_id == repeats.doc, "left").select("doc_id", "text", "pos").mapInArrow(
         _results(window, texts), schema

@@ -6,6 +6,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callpulse.session import ensure_checkpoint_dir
 
@@ -46,6 +47,15 @@ class Workspace:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def splittable(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows, with whole-number ``keys`` written as expressions, so that a join on them shuffles ``df`` anew.
+
+    For the aggregated side of a join on the keys it was grouped by. AQE splits a hot key of the other
+    side only where both inputs of the join come straight from a shuffle, not from an aggregation above one.
+    """
+    return df.select(*[F.expr(f"{c} ^ 0").alias(c) if c in keys else F.col(c) for c in df.columns])
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Session settings for the time of one write; what the session had comes back afterwards."""
