@@ -19,7 +19,13 @@ Steps:
 4. the union of the repeats is removed.
 
 Hot grams: steps 1 and 2 aggregate partially and join on hashes, where AQE can
-split skewed sides; step 3 holds the different blocks of one gram.
+split skewed sides. Step 3 sorts the different blocks of a gram together only
+up to ``HOT`` of them. The blocks of other grams are cut into sub-blocks by the
+distance from a string's start to the gram (``WIDTHS`` distances each). All
+strings of a sub-block share its core, and equal strings share core and
+distance, so a core is a narrower gram: equal sub-blocks collapse as in step 2,
+up to ``HOT`` different ones are sorted, the rest is cut down to single strings,
+of which none differ once equal ones have collapsed.
 Blocks of one partition are sorted in lots of about ``LOT`` bytes.
 
 Edge cases: null text is empty; a text of fewer than ``size`` bytes loses
@@ -41,11 +47,13 @@ from pyspark.sql import functions as F
 from callpulse.llm import kernels as K
 from callpulse.llm.substring_dedup import _lists, _pieces
 from callpulse.llm.suffix_sort import classes
-from callpulse.llm.workspace import Workspace
+from callpulse.llm.workspace import Workspace, splittable
 
 SIZE = 100
 GRAM = 24
 LOT = 1 << 19
+HOT = 2048
+WIDTHS = (8, 1)
 
 
 def _gram(size: int) -> int:
@@ -148,7 +156,7 @@ def _cut(size: int):
                 want = batch.column("want").slice(a, b - a)
                 row = np.repeat(np.arange(b - a), np.asarray(pa.compute.list_value_length(want)))
                 flat = want.flatten()
-                h, at, n = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("h", "at", "n"))
+                h, at, n, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("h", "at", "n", "hot"))
                 raw = data.tobytes()
                 lo = off[row] + at
                 hi = lo + n + size - 1
@@ -158,9 +166,58 @@ def _cut(size: int):
                         batch.column("doc_id").slice(a, b - a).take(pa.array(row)),
                         pa.array(at),
                         pa.array(n),
+                        pa.array(hot),
                         pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())], pa.binary()),
                     ],
-                    ["h", "doc", "at", "n", "bytes"],
+                    ["gram", "doc", "at", "n", "hot", "bytes"],
+                )
+
+    return run
+
+
+def _narrow(size: int, width: int):
+    """Blocks cut by the distance of a string's start to the gram: core hash, 128-bit hash, place and bytes of each part."""
+    gram = _gram(size)
+
+    def run(batches):
+        for batch in batches:
+            whole, off_all = K.utf8(batch.column("bytes"))
+            for a, b in K.pieces(off_all):
+                data, off = whole[off_all[a] : off_all[b]], off_all[a:b] - off_all[a]
+                h, doc, at, n = (batch.column(c).to_numpy(zero_copy_only=False)[a:b].astype(np.int64) for c in ("gram", "doc", "at", "n"))
+                values = K.BYTE[data]
+                # the gram's place is its leftmost one that all strings of the block hold
+                room = size - gram - n + 2
+                row = np.repeat(np.arange(b - a), room)
+                idx = np.repeat(off + n - 1, room) + K.segments(room)
+                same = np.flatnonzero(K.run_hash(values, gram)[idx] == h.view(np.uint64)[row])
+                place = np.empty(b - a, np.int64)
+                found, lead = np.unique(row[same], return_index=True)
+                place[found] = idx[same[lead]]
+                low = (place - off - n + 1) // width
+                parts = (place - off) // width - low + 1
+                row = np.repeat(np.arange(b - a), parts)
+                near = (low[row] + K.segments(parts)) * width
+                far = np.minimum(near + width - 1, size - gram)
+                lo = np.maximum(off[row], place[row] - far)
+                hi = np.minimum(off[row] + n[row] - 1, place[row] - near) + size
+                core = K.span_hash(values, place[row] - near, place[row] - far + size)
+                core = K.mix(core + K.mix(h.view(np.uint64)[row] + near.astype(np.uint64)))
+                s1 = K.span_hash(values, lo, hi)
+                s2 = K.mix(K.span_hash(K.mix(values), lo, hi, K.BASE2) + (hi - lo).astype(np.uint64))
+                raw = data.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h[row]),
+                        pa.array(core.view(np.int64)),
+                        pa.array(s1.view(np.int64)),
+                        pa.array(s2.view(np.int64)),
+                        pa.array(doc[row]),
+                        pa.array(at[row] + lo - off[row]),
+                        pa.array((hi - lo - size + 1).astype(np.int32)),
+                        pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())] if width > 1 else [None] * len(row), pa.binary()),
+                    ],
+                    ["gram", "h", "c1", "c2", "doc", "at", "n", "bytes"],
                 )
 
     return run
@@ -274,12 +331,33 @@ def _stripped(size: int):
     return run
 
 
-def repeated_runs(docs: DataFrame, size: int, work: Workspace) -> DataFrame:
+def _earliest(blocks: DataFrame) -> DataFrame:
+    return blocks.groupBy("h", "c1", "c2").agg(F.min(F.struct("doc", "at", "n")).alias("e")).select("h", "c1", "c2", "e.*")
+
+
+def _later(blocks: DataFrame, first: DataFrame) -> DataFrame:
+    """The blocks that equal an earlier one."""
+    both = blocks.alias("f").join(first.alias("e"), ["h", "c1", "c2"])
+    return both.where("f.doc > e.doc or (f.doc = e.doc and f.at > e.at)").select("f.doc", "f.at", "f.n")
+
+
+def _contested(first: DataFrame, hot: int) -> DataFrame:
+    """The first of each of several different blocks of one key, and whether they are too many to sort together."""
+    many = first.groupBy("h").agg((F.count("*") > hot).alias("hot"), F.count("*").alias("k")).where("k > 1")
+    return first.join(splittable(many.select("h", "hot"), "h"), "h")
+
+
+def _sorted(cut: DataFrame, key: str, size: int) -> DataFrame:
+    of = cut.where("not hot").select(F.col(key).alias("h"), "doc", "at", "n", "bytes")
+    return of.repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_repeats(size), "doc long, at long, n int")
+
+
+def repeated_runs(docs: DataFrame, size: int, work: Workspace, hot: int = HOT) -> DataFrame:
     """doc, runs: starts (at) and numbers (n) of consecutive size-byte strings that occur earlier; docs: doc_id, text."""
     named = docs.where("doc_id is not null")
     grams = work.table(named.mapInArrow(_gram_rows(size), "h long, doc long, n int"), "grams")
     shared = grams.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    lists = work.table(grams.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("hs")), "shared")
+    lists = work.table(grams.join(splittable(shared, "h"), "h").groupBy("doc").agg(F.collect_set("h").alias("hs")), "shared")
     work.delete("grams")
     found = work.table(
         named.join(lists, named.doc_id == lists.doc).select("doc_id", "text", "hs").mapInArrow(
@@ -288,28 +366,35 @@ def repeated_runs(docs: DataFrame, size: int, work: Workspace) -> DataFrame:
         "blocks",
     )
     work.delete("shared")
-    first = work.table(
-        found.groupBy("h", "c1", "c2").agg(F.min(F.struct("doc", "at", "n")).alias("e")).select("h", "c1", "c2", "e.*"), "first"
-    )
-    later = (
-        found.alias("f")
-        .join(first.alias("e"), ["h", "c1", "c2"])
-        .where("f.doc > e.doc or (f.doc = e.doc and f.at > e.at)")
-        .select("f.doc", "f.at", "f.n")
-    )
-    contested = first.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-    wanted = first.join(contested, "h").groupBy("doc").agg(F.collect_list(F.struct("h", "at", "n")).alias("want"))
+    first = work.table(_earliest(found), "first")
+    wanted = _contested(first, hot).groupBy("doc").agg(F.collect_list(F.struct("h", "at", "n", "hot")).alias("want"))
     cut = work.table(
         named.join(wanted, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "want").mapInArrow(
-            _cut(size), "h long, doc long, at long, n int, bytes binary"
+            _cut(size), "gram long, doc long, at long, n int, hot boolean, bytes binary"
         ),
         "cut",
     )
-    ordered = cut.repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_repeats(size), "doc long, at long, n int")
-    runs = work.table(
-        later.unionByName(ordered).groupBy("doc").agg(F.collect_set(F.struct("at", "n")).alias("runs")), "runs"
-    )
-    for name in ("blocks", "first", "cut"):
+    parts = [_later(found, first), _sorted(cut, "gram", size)]
+    used = ["blocks", "first", "cut"]
+    for width in WIDTHS:
+        left = cut.where("hot")
+        if left.isEmpty():
+            break
+        names = [f"{x}-{width}" for x in ("blocks", "first", "cut")]
+        used += names
+        schema = "gram long, h long, c1 long, c2 long, doc long, at long, n int, bytes binary"
+        found = work.table(left.mapInArrow(_narrow(size, width), schema), names[0])
+        first = work.table(_earliest(found), names[1])
+        parts.append(_later(found, first))
+        if width > 1:
+            texts = found.select("h", "c1", "c2", "doc", "at", "gram", "bytes")
+            cut = work.table(_contested(first, hot).join(texts, ["h", "c1", "c2", "doc", "at"]), names[2])
+            parts.append(_sorted(cut, "h", size))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    runs = work.table(every.groupBy("doc").agg(F.collect_set(F.struct("at", "n")).alias("runs")), "runs")
+    for name in used:
         work.delete(name)
     return runs
 
@@ -318,10 +403,12 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def remove_repeated_bytes(docs: DataFrame, size: int = SIZE, texts: bool = True, work: Workspace | None = None) -> DataFrame:
+def remove_repeated_bytes(
+    docs: DataFrame, size: int = SIZE, texts: bool = True, work: Workspace | None = None, hot: int = HOT
+) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept_text."""
     docs = _plain(docs)
-    runs = repeated_runs(docs, size, work or Workspace(docs.sparkSession, "suffix-dedup"))
+    runs = repeated_runs(docs, size, work or Workspace(docs.sparkSession, "suffix-dedup"), hot)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if texts else "")
     return docs.join(runs, docs.doc_id == runs.doc, "left").select("doc_id", "text", "runs").mapInArrow(_results(size, texts), schema)
 

@@ -8,7 +8,7 @@ import pytest
 from callpulse.llm import suffix_sort
 from callpulse.llm.minhash import near_duplicates
 from callpulse.llm.substring_dedup import cover_for, difference_cover, remove_repeated_passages
-from callpulse.llm.suffix_dedup import remove_repeated_bytes, strip_repeated_bytes
+from callpulse.llm.suffix_dedup import HOT, remove_repeated_bytes, strip_repeated_bytes
 
 from . import brute
 
@@ -38,10 +38,11 @@ def test_passages(docs, rows, window):
             assert brute.sha(r.kept_text) == r.kept_sha256
 
 
-@pytest.mark.parametrize("size", [100, 30])
-def test_repeated_bytes(docs, rows, size):
+@pytest.mark.parametrize("size, hot", [(100, HOT), (30, HOT), (100, 1), (100, 3), (30, 1)])
+def test_repeated_bytes(docs, rows, size, hot):
+    """Also with so few blocks allowed to a gram that they are cut narrower."""
     want = brute.repeated_bytes(rows, size)
-    got = remove_repeated_bytes(docs, size).collect()
+    got = remove_repeated_bytes(docs, size, hot=hot).collect()
     assert len(got) == len(rows)
     for r in got:
         if r.doc_id is None:
