@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from callpulse.llm import kernels as K
 from callpulse.llm.substring_dedup import _pieces
-from callpulse.llm.workspace import Workspace
+from callpulse.llm.workspace import Workspace, splittable
 
 SHINGLE = 5
 PERCENT = 80
@@ -213,7 +213,7 @@ def _prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int, work: Workspac
     items = work.table(items, "items")
     often = items.groupBy("item").agg(F.count("*").alias("often")).where("often > 1")
     rare_first = Window.partitionBy("doc").orderBy("often", "item")
-    shared = items.join(often, "item").withColumn("k", F.row_number().over(rare_first)).withColumn("k_all", F.count("*").over(Window.partitionBy("doc")))
+    shared = items.join(splittable(often, "item"), "item").withColumn("k", F.row_number().over(rare_first)).withColumn("k_all", F.count("*").over(Window.partitionBy("doc")))
     # shingles of no other document come first and take places of the prefix
     room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("k_all"))
     place = F.col("k") + F.col("n") - F.col("k_all")
@@ -222,7 +222,7 @@ def _prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int, work: Workspac
     prefix = work.table(prefix.join(weight, "comp").select("doc", "item", "n", "place", F.struct("weight", "comp").alias("c")), "prefix")
     # of two components the lighter one asks; the heaviest of a shingle never does
     top = prefix.groupBy("item").agg(F.max("c").alias("top"))
-    asks = prefix.join(top, "item").where("c < top").alias("x")
+    asks = prefix.join(splittable(top, "item"), "item").where("c < top").alias("x")
     all_of = prefix.alias("y")
     # at the first shared shingle at most the places from there on can agree
     rest = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
     buckets = one.select("doc", F.explode("bands").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min("doc").alias("hub"), F.max("doc").alias("top")).where("hub < top").select("key", "hub")
-    members = work.table(buckets.join(hubs, "key"), "members")
+    members = work.table(buckets.join(splittable(hubs, "key"), "key"), "members")
     light = one.select("doc", "n", *planes)
 
     # sets of all documents that share a bucket with another one
@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     # what the hubs left apart: buckets with members of different components
     at = members.join(comp, "doc", "left").select("key", "doc", F.coalesce("comp", "doc").alias("comp"))
     open_keys = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    left = work.table(at.join(open_keys, "key").select("doc", "comp").distinct(), "open")
+    left = work.table(at.join(splittable(open_keys, "key"), "key").select("doc", "comp").distinct(), "open")
     rest = _prefix_pairs(left, sets, percent, work)
     more = confirm(rest, "more")
     if more.limit(1).count():
