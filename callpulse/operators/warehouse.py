@@ -157,14 +157,18 @@ def call_base(
     )
 
 
-def opps_train(opps: DataFrame, stages: DataFrame, users: DataFrame, cfg: Config) -> DataFrame:
-    """Opportunities with a signed mandate, main record type; implausible compromise dates nulled."""
+def _signed(opps: DataFrame, stages: DataFrame, users: DataFrame, cfg: Config) -> DataFrame:
     u = users.select(F.col("user_id").alias("owner_id"), F.col("name").alias("owner_name"))
     o = opps.join(stages, "opp_id", "left").join(u, "owner_id", "left")
     comp = F.col("compromise_at")
     bad = (F.to_date(comp) > F.lit(cfg.as_of)) | (comp < F.lit(cfg.compromise_min_date).cast("timestamp_ntz"))
     o = o.where(F.col("mandate_signed_at").isNotNull() & (F.col("record_type_id") == cfg.main_record_type))
-    return o.withColumn("compromise_at", F.when(bad, F.lit(None).cast("timestamp_ntz")).otherwise(comp)).select(*OPP_COLUMNS)
+    return o.withColumn("compromise_at", F.when(bad, F.lit(None).cast("timestamp_ntz")).otherwise(comp))
+
+
+def opps_train(opps: DataFrame, stages: DataFrame, users: DataFrame, cfg: Config) -> DataFrame:
+    """Opportunities with a signed mandate, main record type; implausible compromise dates nulled."""
+    return _signed(opps, stages, users, cfg).select(*OPP_COLUMNS)
 
 
 OPP_COLUMNS = (
@@ -195,9 +199,7 @@ def opps_open(opps: DataFrame, stages: DataFrame, users: DataFrame, reassignment
 
     ``NOT IN`` filters drop rows whose value is null, as in SQL.
     """
-    o = opps_train(opps, stages, users, cfg)
-    extra = opps.select("opp_id", "is_closed", "visio", "lost_reason")
-    o = o.join(extra, "opp_id")
+    o = _signed(opps, stages, users, cfg)
     r = reassignments.select("account_id", F.col("cnt").alias("n_reassignments"))
     o = o.join(r, "account_id", "left")
     o = o.where(

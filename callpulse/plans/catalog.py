@@ -259,6 +259,12 @@ def q_crm_clean(spark, sf_dir):
     return Ctx(spark, sf_dir).crm_clean.select(*CRM_CLEAN_COLUMNS)
 
 
+def q_crm_clean_score(spark, sf_dir):
+    """The scoring variant: early lost dates stay."""
+    c = Ctx(spark, sf_dir)
+    return CR.crm_clean(c.opps_train, c.labels_shifted, c.cfg, train=False).select(*CRM_CLEAN_COLUMNS)
+
+
 def q_stage_deltas(spark, sf_dir):
     f = Ctx(spark, sf_dir).crm_features
     return f.select(
@@ -413,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labels_shifted": q_labels_shifted,
     "labels_score": q_labels_score,
     "crm_clean": q_crm_clean,
+    "crm_clean_score": q_crm_clean_score,
     "stage_deltas": q_stage_deltas,
     "last_stage": q_last_stage,
     "crm_features": q_crm_features,

@@ -685,6 +685,7 @@ def build() -> dict[str, str]:
         "labels_shifted": _rows("labels_shifted"),
         "labels_score": _rows("labels_score"),
         "crm_clean": _rows("crm_clean", ", ".join(CRM_CLEAN_COLUMNS)),
+        "crm_clean_score": _rows("crm_8", ", ".join(CRM_CLEAN_COLUMNS)),
         "stage_deltas": _rows(
             "crm_features",
             f"{K}, days_r1_to_assembly, days_assembly_to_sent, days_suspensive_to_ref, days_created_to_sent, "

@@ -107,12 +107,12 @@ def _created_at(o: DataFrame) -> Column:
     return add_hours(add_days(F.lit(CREATED_BASE).cast("timestamp_ntz"), d % 75), F.col("o_orderkey") % 5)
 
 
-def opps_core(t: Tables) -> DataFrame:
-    """(opp_id, account_id, project_id, created_at, mandate_signed_at) per order."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+def opps_core(t: Tables, *extra: str) -> DataFrame:
+    """(opp_id, account_id, project_id, created_at, mandate_signed_at) per order, with ``extra`` order columns."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", *extra)
     k = F.col("o_orderkey")
     base = o.select(
-        k.alias("opp_id"), F.col("o_custkey").alias("account_id"), k.alias("project_id"), _created_at(o).alias("created_at")
+        k.alias("opp_id"), F.col("o_custkey").alias("account_id"), k.alias("project_id"), _created_at(o).alias("created_at"), *extra
     )
     K = F.col("opp_id")
     return base.withColumn(
@@ -126,9 +126,7 @@ def opps_core(t: Tables) -> DataFrame:
 def opps(t: Tables) -> DataFrame:
     """CRM opportunity joined with its project bridge, one row per opportunity."""
     n = _n_agents(t)
-    core = opps_core(t)
-    o = t.orders.select(F.col("o_orderkey").alias("opp_id"), "o_orderstatus", "o_orderpriority")
-    j = core.join(o, "opp_id")
+    j = opps_core(t, "o_orderstatus", "o_orderpriority")
     K = F.col("opp_id")
     C = F.col("created_at")
     ts_null = F.lit(None).cast("timestamp_ntz")

@@ -29,6 +29,7 @@ SUBSET = (
     "call_features_raw",
     "call_features_all",
     "crm_clean",
+    "crm_clean_score",
     "crm_features",
     "features_joined",
     "impute_trace",
