@@ -1,27 +1,30 @@
-"""Licence notices in documents: winnowed fingerprints, an inverted index, banded alignment.
-
-Words are lower-cased runs of letters and digits. All ``GRAM``-word grams of the
-templates are in an inverted index (gram -> template, place). Of a document only
-the winnowed grams are looked up: the smallest hash of every ``WINNOW``
-consecutive grams, so a passage of GRAM + WINNOW - 1 equal words shares at least
-one with the index. Grams of templates too short for that are looked up
-directly. Hits of one template that lie within its length of each other form a
-region; the template is aligned with the words of the region in a band around
-the median diagonal, and a match of at least ``COVERAGE`` of its words is
-reported with its span.
+"""Licence notices in documents: an inverted index of template words, lossless counts, banded alignment.
+
+Words are lower-cased runs of letters and digits. A notice is a place where at
+least ``COVERAGE`` of a template's words stand in order, with places that differ
+from those in the template by amounts within a band (a fifth of the template,
+at least 2, to both sides of any middle). So all its words lie within the
+template's length and twice the band. An inverted index (word -> templates)
+gives the places of template words; where that many of them are so near each
+other, counted as often as the template has them, the template is aligned on
+every diagonal that such words allow. Nothing that aligns is missed; winnowed
+grams would miss notices with words changed or put in.
+
+The alignment of most matched words, then of the shortest span, then the
+earliest, is reported with its span, and the words before and after it are
+looked at again, so spans of one template do not overlap.
 
 The index is the only shared state; its size is that of the templates, which
 are a parameter. Texts are independent of each other, so there is no shuffle.
 
 Edge cases: null and empty texts match nothing; several spans of a template in
-one text give one row each; of equal alignments the earliest in the text wins;
-repeated rows give repeated rows; a row without doc_id keeps its null; other
+one text give one row each; repeated rows give repeated rows; a row without doc_id keeps its null; other
 columns are ignored; an empty table or no template gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,6 @@ from pyspark.sql import functions as F
 from callpulse.llm import kernels as K
 from callpulse.llm.license_templates import TEMPLATES
 
-GRAM, WINNOW = 3, 2
 COVERAGE = 0.8
 
 _BREAK = np.ones(256, bool)
@@ -40,40 +42,41 @@ _BREAK[128:] = False
 
 
 class Index:
+    """Words of all templates in order (vocabulary) and, of each template, how often it has each of them."""
+
     def __init__(self, templates: dict[str, str]):
         self.names, self.tokens = [], []
-        post: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        short = []
         for name, text in templates.items():
             data = np.frombuffer(text.encode(), np.uint8)
             start, end, _ = K.words(data, np.array([0, len(data)]), _BREAK)
             w = K.word_hashes(data, start, end, fold=True)
-            if not len(w):
-                continue
-            t = len(self.names)
-            self.names.append(name)
-            self.tokens.append(w)
-            size = min(GRAM, len(w))
-            for i, h in enumerate(K.run_hash(w, size).tolist()):
-                post[h].append((t, i))
-                if len(w) < GRAM + WINNOW - 1:
-                    short.append((size, h))
-        self.post = dict(post)
-        self.grams = np.array(sorted(post), np.uint64)
-        self.short: dict[int, np.ndarray] = {}
-        for size in {s for s, _ in short}:
-            self.short[size] = np.array(sorted({h for s, h in short if s == size}), np.uint64)
-
-
-def winnow(h: np.ndarray) -> np.ndarray:
-    """Places of the smallest hash (the first of equals) of every WINNOW consecutive ones."""
-    n = len(h)
-    if n == 0:
-        return np.empty(0, np.int64)
-    if n < WINNOW:
-        return np.array([int(h.argmin())])
-    v = np.lib.stride_tricks.sliding_window_view(h, WINNOW)
-    return np.unique(v.argmin(1) + np.arange(len(v)))
+            if len(w):
+                self.names.append(name)
+                self.tokens.append(w)
+        self.vocabulary = np.unique(np.concatenate(self.tokens)) if self.tokens else np.empty(0, np.uint64)
+        self.counts = [np.bincount(np.searchsorted(self.vocabulary, w), minlength=len(self.vocabulary)) for w in self.tokens]
+
+
+def _band(m: int) -> int:
+    return max(2, m // 5)
+
+
+def starts(at: np.ndarray, word: np.ndarray, counts: np.ndarray, need: int, width: int) -> np.ndarray:
+    """Places of template words from which ``width`` places hold ``need`` of the template's words.
+
+    ``at`` are the places of its words in order, ``word`` their numbers; a word counts as often as the template has it.
+    """
+    if len(at) < need:
+        return at[:0]
+    s = at[: len(at) - need + 1]
+    s = s[at[need - 1 :] - s < width]
+    if not len(s):
+        return s
+    total = np.zeros(len(s), np.int64)
+    for v in np.flatnonzero(counts).tolist():
+        own = at[word == v]
+        total += np.minimum(np.searchsorted(own, s + width) - np.searchsorted(own, s), counts[v])
+    return s[total >= need]
 
 
 def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
@@ -101,29 +104,43 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     return score[k], first[k], last[k]
 
 
+def notices(token: np.ndarray, counts: np.ndarray, need: int, w: np.ndarray, at: np.ndarray, word: np.ndarray):
+    """(matched, first, last) of every notice of one template among the words w of one text."""
+    m = len(token)
+    band = _band(m)
+    width = m + 2 * band
+    first = starts(at, word, counts, need, width)
+    if not len(first):
+        return
+    cut = np.flatnonzero(np.diff(first) >= width) + 1
+    todo = [(int(g[0]), min(int(g[-1]) + width, len(w))) for g in np.split(first, cut)]
+    known: dict[int, tuple[int, int, int]] = {}  # alignments that no border of a stretch has cut, by diagonal
+    while todo:
+        lo, hi = todo.pop()
+        a, b = np.searchsorted(at, [lo, hi])
+        some = starts(at[a:b], word[a:b], counts, need, width)
+        whole = next((f for f in some.tolist() if f + m <= hi and np.array_equal(w[f : f + m], token)), None)
+        if whole is not None:
+            best = (m, whole, whole + m - 1)
+        else:
+            best = None
+            for d in np.unique(some[:, None] + np.arange(need - m - band, band + 1)).tolist() if len(some) else ():
+                inside = d - band >= lo and d + m + band <= hi
+                got = known.get(d) if inside else None
+                if got is None:
+                    n, f, e = align(token, w[lo:hi], d - lo, band)
+                    got = (n, f + lo, e + lo)
+                    if inside:
+                        known[d] = got
+                if got[0] >= need and (best is None or (-got[0], got[2] - got[1], got[1]) < (-best[0], best[2] - best[1], best[1])):
+                    best = got
+        if best is not None:
+            yield best
+            todo += [(lo, best[1]), (best[2] + 1, hi)]
+
+
 def _scan(index: Index, coverage: float):
-    def row_matches(w: np.ndarray, hits: list[tuple[int, int, int]]):
-        by: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at, t, i in hits:
-            by[t].append((at, i))
-        for t, places in sorted(by.items()):
-            token = index.tokens[t]
-            m = len(token)
-            places.sort()
-            region: list[tuple[int, int]] = []
-            done = -1
-            for at, i in [*places, (1 << 62, 0)]:
-                if region and at - region[-1][0] > m:
-                    # a region may hold several copies: each diagonal far from the others is its own
-                    for g in sorted({(a - b) // max(1, m // 2) for a, b in region}):
-                        some = [a - b for a, b in region if (a - b) // max(1, m // 2) == g]
-                        diagonal = int(np.median(some))
-                        matched, f, e = align(token, w, diagonal, max(2, m // 5))
-                        if matched >= coverage * m and f > done:
-                            done = e
-                            yield t, matched, f, e
-                    region = []
-                region.append((at, i))
+    needs = [max(1, math.ceil(coverage * len(t))) for t in index.tokens]
 
     def run(batches):
         for batch in batches:
@@ -132,23 +149,24 @@ def _scan(index: Index, coverage: float):
                 data, off = data_all[off_all[a] : off_all[b]], off_all[a : b + 1] - off_all[a]
                 start, end, row = K.words(data, off, _BREAK)
                 w = K.word_hashes(data, start, end, fold=True)
-                found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-                h = K.run_hash(w, GRAM)
-                at = winnow(h)
-                at = at[np.isin(h[at], index.grams)]
-                for size, grams in index.short.items():
-                    hs = h if size == GRAM else K.run_hash(w, size)
-                    own = np.flatnonzero(np.isin(hs, grams))
-                    for p in own[row[own] == row[own + size - 1]].tolist():
-                        found[int(row[p])].extend((p, t, i) for t, i in index.post[int(hs[p])])
-                for p in at[row[at] == row[at + GRAM - 1]].tolist():
-                    found[int(row[p])].extend((p, t, i) for t, i in index.post[int(h[p])])
                 out: list[tuple] = []
-                for r, hits in sorted(found.items()):
-                    lo, hi = np.searchsorted(row, [r, r + 1])
-                    for t, matched, f, e in row_matches(w[lo:hi], sorted({(p - lo, t, i) for p, t, i in hits})):
-                        s, z = int(start[lo + f] - off[r]), int(end[lo + e] - off[r])
-                        out.append((a + r, index.names[t], matched / len(index.tokens[t]), int(f), int(e) + 1, s, z))
+                if len(w) and len(index.names):
+                    word = np.minimum(np.searchsorted(index.vocabulary, w), len(index.vocabulary) - 1)
+                    at = np.flatnonzero(index.vocabulary[word] == w)
+                    word = word[at]
+                for t, need in enumerate(needs if len(w) else ()):
+                    token, counts = index.tokens[t], index.counts[t]
+                    mine = counts[word] > 0
+                    p, v = at[mine], word[mine]
+                    # texts with enough template words near each other
+                    k = max(0, len(p) - need + 1)
+                    near = (p[need - 1 :] - p[:k] < len(token) + 2 * _band(len(token))) & (row[p[need - 1 :]] == row[p[:k]])
+                    for r in np.unique(row[p[:k][near]]).tolist():
+                        lo, hi = np.searchsorted(row, [r, r + 1])
+                        x, y = np.searchsorted(p, [lo, hi])
+                        for matched, f, e in notices(token, counts, need, w[lo:hi], p[x:y] - lo, v[x:y]):
+                            s, z = int(start[lo + f] - off[r]), int(end[lo + e] - off[r])
+                            out.append((a + r, index.names[t], matched / len(token), int(f), int(e) + 1, s, z))
                 rows = pa.array([x[0] for x in out], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [

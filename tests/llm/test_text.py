@@ -209,6 +209,50 @@ def test_licences(spark, no_docs):
     assert license_matches(no_docs).count() == 0 and license_matches(spark.createDataFrame(rows, "doc_id long, text string"), {}).count() == 0
 
 
+def test_licences_with_edits(spark):
+    """Notices with words changed, left out or put in, against alignment on every diagonal."""
+    import re
+
+    from callpulse.llm.license_templates import TEMPLATES
+
+    def best(template, text):
+        a, b = (re.findall("[a-z0-9]+", x.lower()) for x in (template, text))
+        band, most = max(2, len(a) // 5), 0
+        for d in range(-len(a), len(b) + 1):
+            row = [0] * (len(b) + 1)
+            for i, x in enumerate(a):
+                new = row[:]
+                for j, y in enumerate(b):
+                    new[j + 1] = max(new[j], row[j + 1], row[j] + 1 if x == y and abs(j - i - d) <= band else 0)
+                row = new
+            most = max(most, row[-1])
+        return most, len(a)
+
+    rnd = random.Random(9)
+    short = {k: v for k, v in TEMPLATES.items() if len(v.split()) < 15}
+    texts = ["Released under an MIT License", "Released below the MIT License", "Licensed under the CC BY-NC-SA 4.0", "the " * 3000]
+    for v in short.values():
+        for _ in range(6):
+            w = v.split()
+            for _ in range(rnd.randint(1, 3)):
+                k = rnd.randrange(len(w))
+                w[k : k + rnd.randint(0, 1)] = rnd.choice([["x"], [], ["the"], ["y", "z"]])
+            texts.append("some text " + " ".join(w) + " and more")
+    texts += [texts[5] + " " + texts[6], "a " * 20 + TEMPLATES["bsd"].replace("and", "or").replace("source", "code")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in license_matches(docs, {**short, "bsd": TEMPLATES["bsd"]}).collect():
+        got[r.doc_id, r.license] = max(r.coverage, got.get((r.doc_id, r.license), 0))
+    want = {}
+    for i, t in enumerate(texts):
+        for name in [*short, "bsd"] if len(t) < 1000 else ():
+            n, m = best(TEMPLATES[name], t)
+            if n >= 0.8 * m:
+                want[i, name] = n / m
+    assert got == pytest.approx(want)
+    assert got[0, "mit-line"] == got[1, "mit-line"] == 0.8 and got[2, "cc-by-nc-4.0-line"] == 1.0
+
+
 def test_licences_on_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lines = {"gpl-3.0-line": "GNU General Public License, version 3.", "mit-line": "Released under the MIT License.", "all-rights-reserved": "All rights reserved."}
