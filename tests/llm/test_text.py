@@ -191,6 +191,23 @@ def test_leaks(docs, rows, no_docs, spark):
     assert leaks(docs, table.where("false")).count() == 0
 
 
+def test_leaks_with_repeated_words(spark):
+    """One shingle that is counted often and differs between the text and the item moves the counts' cosine far below that of sets."""
+    rnd = random.Random(4)
+    rows, items = [], []
+    for k in range(30):
+        w = [f"w{rnd.randrange(10**6)}" for _ in range(380)]
+        items.append((k, " ".join([*w, *["_"] * 46])))
+        rows.append((100 + k, " ".join([*w, *["-"] * 46])))
+        v = [f"v{rnd.randrange(10**6)}" for _ in range(200)]
+        items.append((50 + k, " ".join([*v[:100], *["_"] * 20, *v[100:]])))
+        rows.append((200 + k, " ".join(["x", *v[:100], *["|"] * 20, *v[100:], "y"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute.leaks(rows, items)
+    assert len(want) >= 30 and got == pytest.approx(want)
+
+
 def test_licences(spark, no_docs):
     mit = "Permission is hereby granted, free of charge, to any person"
     rows = [
