@@ -25,11 +25,13 @@ empty id; other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DIMENSIONS = 512
 GRAM = 3
@@ -168,15 +170,21 @@ def train(docs: DataFrame, bound: int = TRAINING_ROWS) -> dict[str, np.ndarray]:
     return {k: found[k] for k in sorted(found)}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
-    """docs with text -> all columns and lang_pred, score (cosine cut to 0..1)."""
+def free_name(stem: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has, in any case."""
+    used = {c.lower() for c in columns}
+    return next(n for n in (f"__{stem}{i}" for i in count()) if n not in used)
+
+
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with text -> all columns and lang_pred, score (cosine cut to 0..1), or under the two names of ``into``."""
     names = list(prototypes)
     matrix = _unit(np.array([prototypes[k] for k in names], np.float64).reshape(len(names), DIMENSIONS)).astype(np.float32)
     columns = docs.columns
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column(len(columns)).to_pylist()
             for a, b in _rows(texts):
                 x, has = profiles(texts[a:b])
                 if names:
@@ -188,15 +196,14 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
                     lang, score = ["und"] * (b - a), np.zeros(b - a)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(a, b - a) for i in range(len(columns))] + [pa.array(lang, pa.string()), pa.array(score)],
-                    [*columns, "lang_pred", "score"],
+                    [*columns, *into],
                 )
 
-    schema = docs.schema
-    full = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias("__text"))
-    out = schema.add("lang_pred", "string").add("score", "double") if not {"lang_pred", "score"} & set(columns) else None
-    if out is None:
-        raise ValueError("columns lang_pred and score are reserved")
-    return full.mapInArrow(run, out)
+    full = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias(free_name("text", columns)))
+    if {c.lower() for c in into} & {c.lower() for c in columns}:
+        raise ValueError(f"columns {' and '.join(into)} are reserved; give other names in into")
+    # a schema of its own: add() changes the one that docs keeps, and with it docs.columns
+    return full.mapInArrow(run, StructType(list(docs.schema.fields)).add(into[0], "string").add(into[1], "double"))
 
 
 def identify_languages(docs: DataFrame, bound: int = TRAINING_ROWS) -> DataFrame:

@@ -13,12 +13,13 @@ empty results.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callpulse.llm.bpe import encode_texts
 from callpulse.llm.decontaminate import leaks
-from callpulse.llm.language_id import predict, train
+from callpulse.llm.language_id import DIMENSIONS, free_name, predict, train
 from callpulse.llm.minhash import near_duplicates
 from callpulse.llm.queries import tokenizer_path
 from callpulse.llm.suffix_dedup import strip_repeated_bytes
@@ -36,10 +37,15 @@ def _start(spark: SparkSession, docs: DataFrame) -> None:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a recognisable language (no letter) go; a missing lang is filled in."""
+    """Texts without a recognisable language (no letter) go; a missing lang is filled in.
+
+    If there was no row to learn from, texts with a letter stay and a missing lang stays missing.
+    """
     _start(spark, docs)
-    found = predict(docs, train(docs)).where("lang_pred <> 'und'")
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    pred, score = free_name("lang", docs.columns), free_name("score", docs.columns)
+    # one language without a name stands for those that could not be learned
+    found = predict(docs, train(docs) or {"": np.zeros(DIMENSIONS)}, (pred, score)).where(F.col(pred) != "und")
+    return found.withColumn("lang", F.coalesce("lang", F.nullif(F.col(pred), F.lit("")))).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

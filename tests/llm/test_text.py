@@ -304,3 +304,16 @@ def test_stages_keep_columns_and_handle_edges(spark, docs, no_docs, tmp_path):
                 assert out.columns == start.columns
             at = spark.read.parquet(f"{tmp_path}/{k}-{name}")
         assert (at.count() > 0) == (k == 0)
+
+
+def test_language_stage_with_clashing_names_and_without_labels(spark, docs):
+    clash = docs.withColumn("Score", F.lit("s")).withColumn("lang_pred", F.lit("p")).withColumn("__text0", F.lit("t")).withColumn("__lang0", F.lit(1))
+    out = corpus_pipeline.language_id(spark, clash, SF)
+    want = corpus_pipeline.language_id(spark, docs, SF)
+    assert out.columns == clash.columns
+    assert Counter(map(tuple, out.select(*docs.columns).collect())) == Counter(map(tuple, want.collect()))
+    assert {(r.Score, r.lang_pred, r["__text0"], r["__lang0"]) for r in out.collect()} == {("s", "p", "t", 1)}
+    untrained = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), SF).collect()
+    lettered = [r for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert Counter((r.doc_id, r.text) for r in untrained) == Counter((r.doc_id, r.text) for r in lettered)
+    assert {r.lang for r in untrained} == {None}
