@@ -83,6 +83,22 @@ def test_html_edges(spark):
     assert parse("<div><p>a</div></p></x><").tag[0] == "html"
 
 
+def test_html_text_around_and_in_embedded_elements():
+    body = "<article><p>a</p><p>b</p></article>"
+    closed = ["<svg/>", "<svg viewBox='0 0 1 1' />", "<math/>", "<svg><title>t</title><g><text>x</text></g></svg>", "<svg><style/><title/></svg>"]
+    closed += ["<select><option>x<option>y</select>", "<select><option><div>x</div></option></select>", "<template><p>x</p></template>", "<textarea><p>x</textarea>"]
+    closed += ["<script>'<p>x'</script>", "<style>p>a{}</style>", "<iframe><p>x</iframe>", "<noscript><p>x</noscript>", "<svg><svg>x</svg>y</svg>"]
+    unclosed = ["<svg>", "<svg><path d='1'>", "<select>", "<select><option>x", "<template>", "<object data=1>", "<math>"]
+    for x in closed + unclosed:
+        for page in (x + body, x + body + "<svg><text>z</text></svg><select><option>z</select><template>z</template>", "<head>" + x + "<body>" + body):
+            assert extract([page], None) == ["a\n\nb"], page
+    for x in closed:
+        assert extract([f"<article><p>a</p>{x}<p>b</p></article>"], None) == ["a\n\nb"], x
+    assert extract(["<main>let <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></math> be</main>"], None) == ["let x=2 be"]
+    assert extract(["<main>let <math><semantics><mi>x</mi><annotation>\\\\x</annotation></semantics></math> be</main>"], None) == ["let x be"]
+    assert extract(["<main>see <object data=x><param name=y>the fallback</object> here</main>"], None) == ["see the fallback here"]
+
+
 def test_html_decoding_has_no_kept_node_below_a_dropped_one():
     import numpy as np
 
