@@ -99,6 +99,17 @@ def test_html_text_around_and_in_embedded_elements():
     assert extract(["<main>see <object data=x><param name=y>the fallback</object> here</main>"], None) == ["see the fallback here"]
 
 
+def test_html_trees_decide_at_every_size():
+    from callpulse.llm.html_extract import train
+
+    page = "<article><h1>A title</h1><p>One sentence of text.</p><p>And one more of it.</p></article>"
+    for pages in ([], [page], ["<p>no main element</p>"] * 5):
+        model = train(pages)
+        assert model is not None
+        got = extract([page + "<nav><ul><li><a>x</a></li><li><a>y</a></li></ul></nav>", "<p>a<p>b", "plain"], model)
+        assert got == ["A title\n\nOne sentence of text.\n\nAnd one more of it.", "a\n\nb", "plain"]
+
+
 def test_html_decoding_has_no_kept_node_below_a_dropped_one():
     import numpy as np
 
