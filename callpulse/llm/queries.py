@@ -77,6 +77,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(_read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.packing import pack_documents
+
+    return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.spelling_variants import spelling_variants
+
+    return spelling_variants(_read(spark, sf_dir, "documents"), shortest=5, least=3)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callpulse.llm.conversation_trie import prefix_trie
+
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -88,8 +106,20 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_license_scan": op9_license_scan,
     "op10_bpe": op10_bpe,
+    "op11_packing": op11_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
+# crc32 of a list of byte values: the table of the reflected polynomial, then one step a byte
+_CRC_TABLE = """SELECT list(list_reduce(range(8), lambda a, k: xor(a // 2, 3988292384 * (a % 2)), b) ORDER BY b) AS crc
+                FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b)"""
+
+
+def _crc32(byte_list: str) -> str:
+    return f"xor(list_reduce({byte_list}, lambda a, b: xor(crc[1 + xor(a, b) % 256], a // 256), 4294967295), 4294967295)"
+
+
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 ORACLE_SQL = {
@@ -155,4 +185,47 @@ ORACLE_SQL = {
         SELECT doc_id, item_id, CAST(arg_max(st, [v, -st]) AS INTEGER) AS start_word, CAST(arg_max(m, [v, -st]) AS INTEGER) AS n_words,
                CAST(max(v) AS DOUBLE) AS similarity
         FROM best GROUP BY doc_id, item_id""",
+    "op12_spelling_variants": f"""
+        WITH RECURSIVE t AS ({_CRC_TABLE}),
+        run AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[a-z\u00C0-\u00FF]+')) AS w FROM documents),
+        own AS (SELECT doc_id, w, count(*) AS c FROM run GROUP BY ALL),
+        hash AS (SELECT w, c, {_crc32("""flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''),
+                     lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END))""")} AS h FROM own, t),
+        v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word,
+                     CAST(sum(c) AS BIGINT) AS n FROM hash GROUP BY 1 HAVING length(word) >= 5 AND sum(c) >= 3),
+        cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+        pair AS (SELECT DISTINCT a.word, b.word AS other FROM cut a JOIN cut b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+                 UNION SELECT cut.word, v.word FROM cut JOIN v ON less = v.word
+                 UNION SELECT v.word, cut.word FROM cut JOIN v ON less = v.word),
+        near AS (SELECT pair.word, count(*) AS n_near, max(v.n) AS top, min(struct_pack(k := -v.n, w := v.word)) AS best
+                 FROM pair JOIN v ON v.word = other GROUP BY pair.word),
+        form AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * v.n THEN best.w END AS form, CASE WHEN top >= 2 * v.n THEN top END AS form_n
+                 FROM v LEFT JOIN near USING (word)),
+        walk AS (SELECT word, word AS z FROM form UNION ALL SELECT walk.word, form.form FROM walk JOIN form ON form.word = walk.z WHERE form.form IS NOT NULL)
+        SELECT form.word, form.form, z AS root, form.n, form.n_near, form.form_n
+        FROM walk JOIN form stop ON stop.word = z AND stop.form IS NULL JOIN form ON form.word = walk.word""",
+    "op13_conversation_trie": f"""
+        WITH t AS ({_CRC_TABLE}),
+        turns AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS turn,
+                         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                             md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+                  FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, list(turn ORDER BY k) AS s FROM turns GROUP BY conv_id),
+        h AS (SELECT conv_id, s, CAST({_crc32("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))")} % 9 AS BIGINT) AS h
+              FROM own, t),
+        conv AS (SELECT h.conv_id, CASE WHEN h.conv_id % 5 = 0 THEN h.s ELSE list_concat(coalesce(base.s, [])[1:h], h.s[h + 1:]) END AS s
+                 FROM h LEFT JOIN own base ON base.conv_id = h.conv_id - h.conv_id % 5),
+        pre AS (SELECT conv_id, len(s) AS n, d, sha256(to_json(s[1:d])) AS p, sha256(to_json(s[1:d - 1])) AS up, CASE WHEN d > 0 THEN strlen(s[d].x) ELSE 0 END AS b
+               FROM conv, unnest(range(0, len(s) + 1)) AS u(d)),
+        node AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(b) AS b,
+                        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+                 FROM pre GROUP BY p, d),
+        kids AS (SELECT up, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+        full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids ON kids.up = node.p AND kids.d = node.d),
+        below AS (SELECT top.p, top.d, sum(CASE WHEN low.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((low.n_convs - 1) * low.b) AS saved_tokens
+                  FROM full_node low JOIN pre ON pre.conv_id = low.conv_id AND pre.d <= low.d JOIN full_node top ON top.p = pre.p AND top.d = pre.d GROUP BY ALL)
+        SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, v.n_convs, CAST(v.n_children AS BIGINT) AS n_children,
+               CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+        FROM full_node v JOIN below ON below.p = v.p AND below.d = v.d LEFT JOIN full_node up ON v.d > 0 AND up.p = v.up AND up.d = v.d - 1""",
 }
