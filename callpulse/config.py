@@ -147,6 +147,9 @@ class Config:
     num_trees: int = 500
     max_depth: int = 15
     min_instances_per_node: int = 80
+    max_leaf_nodes: int = 14
+    min_samples_split: int = 175
+    max_bins: int = 64
     test_fraction: float = 0.25
     seed: int = 7
     # alerts

@@ -1,39 +1,38 @@
-"""Unicode folding: NFKD, drop non-ASCII, lower case.
+"""Unicode folding in the JVM: compatibility decomposition, drop what is not ASCII, lower case.
 
-Spark has no Unicode normalisation builtin, so this is the one Arrow UDF.
-``fold_names`` applies it to the distinct values of a column only and joins
-the result back, so the Python work grows with the number of distinct names,
-not with the number of rows.
+Spark has no Unicode normalisation builtin. Since everything outside ASCII is
+dropped afterwards, decomposition is a table from one code point to the ASCII
+letters in its decomposition. Code points that become one letter go through
+``translate``, the few that become several through a map, and only in texts
+that hold one. No Python runs on the rows.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 
-
-def _fold_one(s):
-    if s is None:
-        return None
-    return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii").lower()
-
-
-@pandas_udf(T.StringType())
-def fold_text(s: pd.Series) -> pd.Series:
-    return s.map(_fold_one, na_action="ignore")
-
-
-def fold_names(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add ``out`` = folded ``col`` computed over the distinct values of ``col``.
-
-    The join side is a small aggregate; AQE broadcasts it when its measured size allows.
-    """
-    dim = df.select(col).where(F.col(col).isNotNull()).distinct()
-    dim = dim.select(col, fold_text(F.col(col)).alias(out))
-    return df.join(dim, on=col, how="left")
+@lru_cache(maxsize=1)
+def ascii_table() -> tuple[dict[str, str], dict[str, str]]:
+    """(code points that become one ASCII letter, code points that become several)."""
+    one, several = {}, {}
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode("ascii")
+        if plain:
+            (one if len(plain) == 1 else several)[c] = plain
+    return one, several
+
+
+def fold_text(text: Column) -> Column:
+    """NFKD without its non-ASCII part, in lower case; null stays null."""
+    one, several = ascii_table()
+    held = F.concat(F.lit("["), F.lit("".join(several)), F.lit("]"))
+    letters = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    spelled = F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.coalesce(letters[c], c)), "")
+    text = F.when(F.regexp_like(text, held), spelled).otherwise(text)
+    return F.lower(F.regexp_replace(F.translate(text, "".join(one), "".join(one.values())), "[^\\x00-\\x7F]", ""))

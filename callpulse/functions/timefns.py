@@ -34,9 +34,17 @@ def round_to_day(ts) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("timestamp_ntz")
 
 
-def day_of(ts) -> Column:
-    """Calendar day of a timestamp as ``date``."""
-    return F.to_date(_c(ts))
+def parse_utc(text) -> Column:
+    """Text to UTC wall clock (``timestamp_ntz``); null where it is no date.
+
+    A text without a zone is UTC already; the session's zone plays no part.
+    """
+    t = F.trim(_c(text))
+    zoned = F.regexp_like(t, F.lit(r"(Z|[+-]\d{2}(:?\d{2})?|UTC|GMT)$")) & F.regexp_like(t, F.lit(r"\d:\d"))
+    day = F.regexp_like(t, F.lit(r"^\d{4}-\d{1,2}-\d{1,2}$"))
+    full = F.when(zoned, t).when(day, F.concat(t, F.lit(" 00:00:00Z"))).otherwise(F.concat(t, F.lit("Z")))
+    us = F.unix_micros(full.try_cast("timestamp"))
+    return F.timestamp_add("MICROSECOND", us, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def _q(n) -> Column:

@@ -125,6 +125,20 @@ def features_joined(call_features: DataFrame, crm: DataFrame, checkpoint: bool =
     return call_features.join(c, list(KEY), "left")
 
 
+PER_CALL_FEATURES = ("n_rows", "n_calls_global", "avg_duration", "days_since_last", "n_experts", "agent_experience_days")
+
+
+def per_call(window: DataFrame, features: DataFrame, columns=PER_CALL_FEATURES) -> DataFrame:
+    """The features of each KEY beside every call row of it, with the call's own punctuality (one row per call and label).
+
+    KEYs without features (no named agent) are left out, as in the feature table. A KEY with very many calls is
+    split: both sides of the join come straight from a shuffle.
+    """
+    f = features.select(*KEY, *columns).withColumns({"account_id": F.expr("account_id ^ 0"), "opp_id": F.expr("opp_id ^ 0")})
+    rows = window.select(*KEY, "label_opp_id", "call_id", "start_time", *PUNCTUALITY_COLUMNS)
+    return rows.join(f, list(KEY))
+
+
 SCORE_IMPUTED = tuple(f for f in MODEL_FEATURES if f != "mandate_delta_days")
 
 

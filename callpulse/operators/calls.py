@@ -1,18 +1,15 @@
 """Call features per KEY = (account_id, opp_id, ref_date).
 
-Plan (no per-feature group-by + join chain):
-
-1. ``call_window`` - calls joined to the labels of their account with the
-   60-day look-back in the join condition (equi-join on account, range as
-   join filter), duration capped, agent name folded over distinct names.
-2. ``call_cells`` - ONE map-side-combined aggregation at the grain
-   (KEY, day, agent, agent_norm) holding every partial measure. It is
-   written once to the checkpoint folder and read by the roll-ups below.
-3. Roll-ups: flat per KEY, per (KEY, day) for multi-call days and gaps
-   (a lag window over at most ``window_days`` rows per KEY), per
-   (KEY, agent) for experience, per (KEY, agent_norm) for distinct experts.
-   Each is a small aggregation of ``call_cells``; the results are joined
-   on KEY.
+Two ways lead to the same features:
+
+* ``callpulse.operators.cells`` aggregates calls once into day cells that know no
+  label, and joins the cells to the labels. The jobs and queries use it.
+* ``call_features_raw`` below starts from calls already joined to labels
+  (``call_window``); it works for any reference times and any hand-made rows.
+
+``call_window`` joins calls to the labels of their account with the 60-day look-back: an equi-join on the
+account and on the period of ``window_days`` that the call falls in; a label is in the
+two periods that its window touches, so a hot account's calls meet only labels near in time.
 
 Null semantics follow the feature definitions: filtered counts are null
 when the KEY has no matching call (later median-filled), call-mix counts
@@ -38,7 +35,7 @@ ROLE_OTHER = "other"
 
 def agent_dimension(call_base: DataFrame, cfg: Config) -> DataFrame:
     """One row per distinct agent name: first call made under an expert role (whole history,
-    null if none) and the folded name. The fold UDF runs on distinct names only."""
+    null if none) and the folded name. The fold runs on distinct names only."""
     expert = F.col("role_id").isin(*cfg.expert_roles)
     d = call_base.where(F.col("agent").isNotNull()).groupBy("agent").agg(
         F.min(F.when(expert, F.col("start_time"))).alias("first_expert_call")
@@ -46,19 +43,52 @@ def agent_dimension(call_base: DataFrame, cfg: Config) -> DataFrame:
     return d.withColumn("agent_norm", fold_text(F.col("agent")))
 
 
-def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint: bool = True) -> DataFrame:
+def period(ts, days: int):
+    """Number of the ``days``-long period since 1970 that a time falls in."""
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.floor(us / F.lit(days * 86_400_000_000)).cast("int")
+
+
+def join_windows(rows: DataFrame, labels: DataFrame, at: str, cfg: Config) -> DataFrame:
+    """Rows x labels of the same account with ``ref_date - window < at < ref_date``.
+
+    Each pair meets in one period only, that of the row.
+    """
+    span = cfg.window_days
+    ends = F.array_distinct(F.array(period(add_days("ref_date", -span), span), period(F.col("ref_date"), span)))
+    lab = labels.withColumnRenamed("account_id", "_acc").withColumn("_per", F.explode(ends))
+    r = rows.withColumn("_row_per", period(F.col(at), span))
+    cond = (
+        (r["account_id"] == lab["_acc"])
+        & (r["_row_per"] == lab["_per"])
+        & (r[at] < lab["ref_date"])
+        & (r[at] > add_days(lab["ref_date"], -span))
+    )
+    return r.join(lab, cond).drop("_acc", "_per", "_row_per")
+
+
+def label_span(labels: DataFrame, cfg: Config):
+    """(lo, hi): no row at or outside these times is in a window; one scalar subquery, used for both bounds."""
+    return labels.select(
+        F.struct(add_days(F.min("ref_date"), -cfg.window_days).alias("lo"), F.max("ref_date").alias("hi"))
+    ).scalar()
+
+
+def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint: bool = True, agents: DataFrame | None = None) -> DataFrame:
     """Calls x labels of the same account with ``ref_date - window < start_time < ref_date``.
 
     Any opportunity of the account matches (many-to-many); the KEY keeps the
-    call's own opportunity. The call register is read twice (the calls and the
-    per-agent dimension over the whole history), so it is written once first.
+    call's own opportunity. The date bound of the labels reaches the scan of the calls, before the register's
+    joins. ``agents``: the per-agent dimension, by default that of ``call_base`` over its whole history.
     """
     if checkpoint:
-        call_base = materialize(call_base)
         labels = materialize(labels)  # read by the date bounds and by the join
-    c = call_base.withColumn("duration_s", cap("duration_s", cfg.duration_cap_s))
+    agents = agent_dimension(call_base, cfg) if agents is None else agents
+    span = label_span(labels, cfg)
+    c = call_base.where((F.col("start_time") > span.getField("lo")) & (F.col("start_time") < span.getField("hi")))
+    c = c.withColumn("duration_s", cap("duration_s", cfg.duration_cap_s))
     # AQE turns this into a broadcast join when the measured dimension is small
-    c = c.join(agent_dimension(call_base, cfg), "agent", "left")
+    c = c.join(agents, "agent", "left")
     role = (
         F.when(F.col("role_id").isin(*cfg.expert_roles), F.lit(ROLE_EXPERT))
         .when(F.col("role_id") == cfg.bizdev_role, F.lit(ROLE_BIZDEV))
@@ -66,25 +96,14 @@ def call_window(call_base: DataFrame, labels: DataFrame, cfg: Config, checkpoint
     )
     c = c.withColumn("role", role)
     lab = labels.select(
-        F.col("account_id").alias("_acc"),
+        "account_id",
         F.col("opp_id").alias("label_opp_id"),
         "ref_date",
         "rating",
         "mandate_date",
         "mandate_delta_days",
     )
-    # no call outside [min(ref) - window, max(ref)) can match: bound the calls before the join shuffle
-    # (one scalar subquery, evaluated once and reused for both bounds)
-    span = labels.select(
-        F.struct(add_days(F.min("ref_date"), -cfg.window_days).alias("lo"), F.max("ref_date").alias("hi"))
-    ).scalar()
-    c = c.where((F.col("start_time") > span.getField("lo")) & (F.col("start_time") < span.getField("hi")))
-    cond = (
-        (c.account_id == lab._acc)
-        & (c.start_time < lab.ref_date)
-        & (c.start_time > add_days(lab.ref_date, -cfg.window_days))
-    )
-    return c.join(lab, cond).drop("_acc")
+    return join_windows(c, lab, "start_time", cfg)
 
 
 # Total order of calls inside a KEY, (start time, call id), as one decimal: microseconds since
@@ -203,7 +222,11 @@ def _flat(cells: DataFrame, cfg: Config) -> DataFrame:
         F.max("max_start").alias("max_start"),
         F.max("max_mandate").alias("max_mandate"),
     ]
-    g = cells.groupBy(*KEY).agg(*aggs)
+    return flat_columns(cells.groupBy(*KEY).agg(*aggs))
+
+
+def flat_columns(g: DataFrame, more: dict | None = None) -> DataFrame:
+    """Ratios, null rules and names of the flat features, from the sums and picks per KEY; ``more``: further columns of g."""
     cols = [
         *KEY,
         "n_rows",
@@ -256,6 +279,7 @@ def _flat(cells: DataFrame, cfg: Config) -> DataFrame:
         (F.col("n_calls_global") * F.coalesce(avg, F.lit(0.0))).alias("total_time"),
         floor_days("ref_date", "last_call").alias("days_since_last"),
         floor_days("ref_date", "first_call").alias("days_since_first"),
+        *[c.alias(name) for name, c in (more or {}).items()],
     ]
     return g.select(*cols)
 
@@ -318,24 +342,31 @@ def call_features_raw(cw: DataFrame, cfg: Config, checkpoint: bool = True) -> Da
     cells = call_cells(cw, cfg)
     if checkpoint:
         cells = materialize(cells)
-    flat = _flat(cells, cfg)
-    # missed-status cells counted at the (account, opportunity) grain, across reference dates
+    out = (
+        missed_counts(_flat(cells, cfg))
+        .join(_daily(cells, cfg), list(KEY), "left")
+        .join(_experience(cells), list(KEY), "inner")
+        .join(_agents(cells), list(KEY), "left")
+    )
+    out = agent_counts(out)
+    # read by the median fit and by the fill: one row per KEY, written once
+    return materialize(out) if checkpoint else out
+
+
+def missed_counts(flat: DataFrame) -> DataFrame:
+    """Missed-status cells counted at the (account, opportunity) grain, across reference dates."""
     w = Window.partitionBy("account_id", "opp_id")
     flat = flat.withColumn("no_callback_count", nullif_zero(F.sum("n_no_callback").over(w)).cast("double"))
     flat = flat.withColumn("same_day_callback_count", nullif_zero(F.sum("n_same_day").over(w)).cast("double"))
-    flat = flat.withColumn(
+    return flat.withColumn(
         "total_missed", F.coalesce(F.col("no_callback_count") + F.col("same_day_callback_count"), F.lit(0.0))
     )
-    out = (
-        flat.join(_daily(cells, cfg), list(KEY), "left")
-        .join(_experience(cells), list(KEY), "inner")
-        .join(_agents(cells), list(KEY), "left")
-    )
+
+
+def agent_counts(out: DataFrame) -> DataFrame:
     out = out.withColumn("n_experts", F.coalesce(F.col("n_experts_raw"), F.lit(0)))
     out = out.withColumn(
         "n_interlocutors",
         F.when(F.col("n_real_kept") > 0, F.coalesce(F.col("n_interlocutors_raw"), F.lit(0))),
     )
-    out = out.drop("n_experts_raw", "n_interlocutors_raw", "n_no_callback", "n_same_day")
-    # read by the median fit and by the fill: one row per KEY, written once
-    return materialize(out) if checkpoint else out
+    return out.drop("n_experts_raw", "n_interlocutors_raw", "n_no_callback", "n_same_day")

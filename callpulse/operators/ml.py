@@ -1,4 +1,4 @@
-"""Model steps with ``pyspark.ml``: label, class weights, split, random forest, scoring.
+"""Model steps: label, class weights, split, random forest with leaf limits, scoring.
 
 The split is deterministic, by opportunity and stratified: all rows of one
 opportunity land on the same side, so shifted copies of a label cannot leak
@@ -7,15 +7,13 @@ across, and each class gives the same share of its opportunities to the test.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpulse.config import KEY, MODEL_FEATURES, Config
+from callpulse.operators.forest import ForestModel, ForestParams, fit_forest
+from callpulse.operators.ranking import exact_auc
 from callpulse.session import materialize
 
 HASH_SLOTS = 10000
@@ -99,69 +97,66 @@ def correlated_features(rows: DataFrame, threshold: float = 0.85, features=MODEL
     return rows.sparkSession.createDataFrame(out, "feature_a string, feature_b string, corr double")
 
 
-def _pipeline(cfg: Config) -> Pipeline:
-    asm = VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features", handleInvalid="error")
-    rf = RandomForestClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        numTrees=cfg.num_trees,
-        maxDepth=cfg.max_depth,
-        minInstancesPerNode=cfg.min_instances_per_node,
-        bootstrap=False,
-        featureSubsetStrategy="sqrt",
+def forest_params(cfg: Config) -> ForestParams:
+    return ForestParams(
+        num_trees=cfg.num_trees,
+        max_depth=cfg.max_depth,
+        max_leaf_nodes=cfg.max_leaf_nodes,
+        min_samples_leaf=cfg.min_instances_per_node,
+        min_samples_split=cfg.min_samples_split,
+        max_bins=cfg.max_bins,
         seed=cfg.seed,
     )
-    return Pipeline(stages=[asm, rf])
 
 
-def train(matrix: DataFrame, cfg: Config) -> tuple[PipelineModel, DataFrame]:
+def train(matrix: DataFrame, cfg: Config) -> tuple[ForestModel, DataFrame]:
     """Fit on the train side; metrics frame with AUC on hard predictions (as reported) and on probabilities."""
     rows = materialize(split_flag(training_rows(matrix, cfg), cfg))  # read by the weights, the fit and the scoring
-    weights = class_weights(rows.where(~F.col("is_test"))).select("is_good", "weight")
-    rows = rows.join(weights, "is_good", "left").withColumn("label", F.col("is_good").cast("double"))
-    model = _pipeline(cfg).fit(rows.where(~F.col("is_test")))
-    scored = model.transform(rows).select("label", "is_test", "prediction", vector_to_array("probability")[1].alias("rawPrediction"))
-    pred = materialize(scored)  # the forest is applied once, four evaluations read it
-    sizes = {(r["is_test"], r["label"]): r["n"] for r in pred.groupBy("is_test", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ev_pred = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="prediction", metricName="areaUnderROC")
-    ev_prob = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    metrics = {}
-    for side, cond in (("train", ~F.col("is_test")), ("test", F.col("is_test"))):
-        part = pred.where(cond)
-        own = [n for (test, _), n in sizes.items() if test == (side == "test")]
-        metrics[f"n_{side}"] = sum(own)
-        two = len(own) == 2
-        metrics[f"auc_{side}_prediction"] = ev_pred.evaluate(part) if two else None
-        metrics[f"auc_{side}_probability"] = ev_prob.evaluate(part) if two else None
-    spark = matrix.sparkSession
-    schema = "n_train bigint, auc_train_prediction double, auc_train_probability double, n_test bigint, auc_test_prediction double, auc_test_probability double"
-    row = [tuple(metrics[k] for k in ("n_train", "auc_train_prediction", "auc_train_probability", "n_test", "auc_test_prediction", "auc_test_probability"))]
-    return model, spark.createDataFrame(row, schema)
+    fitted = rows.where(~F.col("is_test"))
+    weights = {r["is_good"]: r["weight"] for r in class_weights(fitted).collect()}  # a row a class
+    model = fit_forest(fitted, MODEL_FEATURES, "is_good", forest_params(cfg), (weights.get(False, 0.0), weights.get(True, 0.0)))
+    # the forest is applied once, the AUCs read it
+    pred = materialize(model.transform(rows).select("is_good", "is_test", "prediction", F.col("p_good").alias("probability")))
+    return model, model_metrics(pred)
+
+
+def model_metrics(pred: DataFrame) -> DataFrame:
+    """One row: rows and AUCs of both sides, from is_good, is_test, prediction and probability."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("score")) for k in ("prediction", "probability")]))
+    long = pred.select("is_good", "is_test", kinds.alias("s")).select("is_good", "is_test", "s.kind", "s.score")
+    auc = exact_auc(long, F.col("is_good"), F.col("score"), {"is_test": F.col("is_test"), "kind": F.col("kind")})
+    sides = []
+    for side, test in (("train", False), ("test", True)):
+        own = lambda kind: (F.col("is_test") == test) & (F.col("kind") == kind)  # noqa: B023, E731
+        sides += [
+            F.coalesce(F.max(F.when(own("prediction"), F.col("n_pos") + F.col("n_neg"))), F.lit(0)).alias(f"n_{side}"),
+            F.max(F.when(own("prediction"), F.col("auc"))).alias(f"auc_{side}_prediction"),
+            F.max(F.when(own("probability"), F.col("auc"))).alias(f"auc_{side}_probability"),
+        ]
+    return auc.agg(*sides)
 
 
 def scoring_matrix(ctx, cfg: Config) -> DataFrame:
     """Features of open opportunities at the run date, imputed with trace (same loaders as training)."""
     from callpulse.operators import assemble as AS
-    from callpulse.operators import calls as CA
+    from callpulse.operators import cells as CE
     from callpulse.operators import crm as CR
     from callpulse.operators import labels as LA
     from callpulse.operators import warehouse as WH
 
     lab = LA.labels_score(WH.mandates_open(ctx.opps, cfg), cfg)
-    cw = CA.call_window(ctx.call_base("agent"), lab, cfg)
-    calls = AS.call_features_all(CA.call_features_raw(cw, cfg), cfg)
+    calls = AS.call_features_all(CE.features_from_cells(ctx.cells, lab, cfg), cfg)
     crm = CR.crm_features(CR.crm_clean(ctx.opps_train, lab, cfg, train=True))
     return AS.impute_trace(AS.features_joined(calls, crm), cfg)
 
 
-def score_output(model: PipelineModel, imputed: DataFrame, cfg: Config) -> DataFrame:
+def score_output(model: ForestModel, imputed: DataFrame, cfg: Config) -> DataFrame:
     """The 12-column score table rows for the run date."""
     p = model.transform(imputed)
     out = p.select(
         "account_id",
         "opp_id",
-        F.bround(vector_to_array("probability")[1], 3).alias("proba"),
+        F.bround("p_good", 3).alias("proba"),
         *[F.col(c).cast("double") for c in SCORE_COLUMNS[3:9]],
         "missing_values",
         F.concat(F.lit(cfg.url_prefix), F.col("opp_id").cast("string")).alias("url"),

@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callpulse.operators.forest import ForestModel
+from callpulse.operators.storage import conform
 from callpulse.sources.tables import ALERT_SCHEMA, SCORE_SCHEMA
 
 
-def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def append_scores(df: DataFrame, path: str) -> None:
-    """Append the run's scores to the typed score table (parquet)."""
-    _conform(df, SCORE_SCHEMA).write.mode("append").parquet(path)
-
-
 def write_scores_csv(df: DataFrame, latest_path: str, dated_root: str) -> None:
     """Latest copy (overwritten) and a copy per prediction date (only that partition replaced)."""
-    out = _conform(df, SCORE_SCHEMA)
+    out = conform(df, SCORE_SCHEMA)
     out.write.mode("overwrite").option("header", True).csv(latest_path)
     (
         out.withColumn("pred_day", F.to_date("date_pred"))
@@ -32,20 +24,20 @@ def write_scores_csv(df: DataFrame, latest_path: str, dated_root: str) -> None:
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model: ForestModel, path: str) -> None:
+    model.save(spark, path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> ForestModel:
+    return ForestModel.load(spark, path)
 
 
 def write_alerts(df: DataFrame, path: str, sort_desc: bool | None = None) -> None:
-    """Alert tables are written to a new path; never over the path being read.
+    """Alert tables are written to the folder of a new version, never over the one being read.
 
     ``sort_desc``: True sorts by newest date first, False by least satisfied first, None not at all.
     """
-    out = _conform(df, ALERT_SCHEMA)
+    out = conform(df, ALERT_SCHEMA)
     if sort_desc:
         out = out.orderBy(F.col("date_pred").desc())
     elif sort_desc is False:

@@ -15,7 +15,7 @@ tables with the same columns).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpulse.config import MISSED_NO_CALLBACK, MISSED_SAME_DAY, Config
@@ -42,17 +42,12 @@ def missed_status(calls_opp: DataFrame, cfg: Config) -> DataFrame:
     A day is ``no_callback`` when no call of that day (either direction) is
     shorter than ``callback_below_s``, else ``same_day_callback``.
     """
-    d = F.col("duration_s")
-    missed = (F.col("direction") == "in") & ((d < cfg.missed_below_s) | d.isNull())
     g = calls_opp.groupBy("account_id", "opp_id", F.to_date("start_time").alias("call_day")).agg(
-        F.bool_or(F.coalesce(missed, F.lit(False))).alias("has_missed"),
-        F.count_if(d < cfg.callback_below_s).alias("n_short"),
+        F.bool_or(missed_call(cfg)).alias("has_missed"),
+        F.count_if(F.col("duration_s") < cfg.callback_below_s).alias("n_short"),
     )
     return g.where("has_missed").select(
-        "account_id",
-        "opp_id",
-        "call_day",
-        F.when(F.col("n_short") == 0, F.lit(MISSED_NO_CALLBACK)).otherwise(F.lit(MISSED_SAME_DAY)).alias("missed_status"),
+        "account_id", "opp_id", "call_day", status_of(F.col("has_missed"), F.col("n_short")).alias("missed_status")
     )
 
 
@@ -117,6 +112,30 @@ def punctuality(slots: DataFrame, realised: DataFrame, by: str = "agent") -> Dat
 PUNCTUALITY_COLUMNS = ("no_show", "on_time", "late_lt5", "late_lt15", "late_ge_15")
 
 
+def missed_call(cfg: Config):
+    """Inbound call that was not really answered."""
+    d = F.col("duration_s")
+    return F.coalesce((F.col("direction") == "in") & ((d < cfg.missed_below_s) | d.isNull()), F.lit(False))
+
+
+def status_of(has_missed, n_short):
+    """Status of a day: null without a missed call."""
+    return F.when(has_missed, F.when(n_short == 0, F.lit(MISSED_NO_CALLBACK)).otherwise(F.lit(MISSED_SAME_DAY)))
+
+
+def _day_status(cfg: Config):
+    """Missed status of the call's (account, opportunity, day); a group is one opportunity's day of calls."""
+    day = Window.partitionBy("account_id", "opp_id", "call_day")
+    known = F.col("account_id").isNotNull() & F.col("opp_id").isNotNull() & F.col("call_day").isNotNull()
+    n_short = F.sum(F.when(F.col("duration_s") < cfg.callback_below_s, 1).otherwise(0)).over(day)
+    return F.when(known, status_of(F.max(missed_call(cfg)).over(day), n_short))
+
+
+def spread_nulls(key: str, row_id: str):
+    """A text join key whose nulls match nothing and are dealt out by the row's id, instead of all going to one task."""
+    return F.coalesce(F.col(key), F.concat(F.lit("\0"), F.col(row_id).cast("string")))
+
+
 def call_base(
     calls: DataFrame,
     opps: DataFrame,
@@ -126,15 +145,23 @@ def call_base(
     tasks: DataFrame,
     cfg: Config,
     by: str = "agent",
+    missed: bool = True,
 ) -> DataFrame:
-    """Call register with opportunity, user role, missed-day status, punctuality and absence flag."""
-    co = calls_with_opps(calls, opps)
-    ms = missed_status(co, cfg)
-    u = users.select("user_id", F.col("name").alias("expert_name"), F.col("email").alias("users_email"), "role_id")
-    b = co.withColumn("call_day", F.to_date("start_time")).join(u, "users_email", "left")
-    b = b.join(ms, ["account_id", "opp_id", "call_day"], "left")
+    """Call register with opportunity, user role, missed-day status, punctuality and absence flag.
+
+    ``missed=False`` leaves the missed-day status out, for steps that derive it from day cells.
+    """
+    b = calls_with_opps(calls, opps).withColumn("call_day", F.to_date("start_time"))
+    if missed:
+        b = b.withColumn("missed_status", _day_status(cfg))
+    u = users.select("user_id", F.col("name").alias("expert_name"), F.col("email").alias("_email"), "role_id")
+    b = b.join(u, spread_nulls("users_email", "call_id") == u["_email"], "left").drop("_email")
     p = punctuality(scheduled_slots(appointments, users, cfg, by), realised_calls(tasks, opps, users, cfg, by), by)
-    b = b.join(p, "expert_name" if by != "account" else "account_id", "left")
+    if by != "account":
+        p = p.withColumnRenamed("expert_name", "_expert")
+        b = b.join(p, spread_nulls("expert_name", "call_id") == p["_expert"], "left").drop("_expert")
+    else:
+        b = b.join(p, "account_id", "left")
     ab = absences.select("user_id", F.col("absent_on").alias("call_day"), F.lit(True).alias("_absent"))
     b = b.join(ab, ["user_id", "call_day"], "left")
     b = b.where(
@@ -151,7 +178,7 @@ def call_base(
         "expert_name",
         "manager_name",
         "role_id",
-        "missed_status",
+        *(["missed_status"] if missed else []),
         *PUNCTUALITY_COLUMNS,
         F.when(F.col("_absent"), F.lit(ABSENT)).otherwise(F.lit(WORK)).alias("absence_flag"),
     )

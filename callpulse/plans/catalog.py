@@ -7,6 +7,8 @@ SQL twin of each query that has one.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -18,12 +20,16 @@ from callpulse.functions.timefns import floor_days, minutes_between, round_to_da
 from callpulse.operators import alerts as AL
 from callpulse.operators import assemble as AS
 from callpulse.operators import calls as CA
+from callpulse.operators import cells as CE
 from callpulse.operators import crm as CR
 from callpulse.operators import labels as LA
 from callpulse.operators import ml as ML
+from callpulse.operators import storage as ST
 from callpulse.operators import warehouse as WH
+from callpulse.operators.ranking import exact_auc
+from callpulse.session import ensure_checkpoint_dir, materialize
 from callpulse.sources import adapters as A
-from callpulse.sources.tables import Tables
+from callpulse.sources.tables import SCORE_SCHEMA, Tables, read_reviews_csv, read_reviews_tolerant
 
 
 class Ctx:
@@ -52,12 +58,24 @@ class Ctx:
         return A.opp_stages(self.t)
 
     # warehouse
-    def call_base(self, by: str = "agent") -> DataFrame:
+    def call_base(self, by: str = "agent", missed: bool = True) -> DataFrame:
         t = self.t
         return WH.call_base(
-            self.calls, self.opps, self.users, A.absences(t), A.appointments(t), A.tasks(t), self.cfg, by
+            self.calls, self.opps, self.users, A.absences(t), A.appointments(t), A.tasks(t), self.cfg, by, missed
         )
 
+    @cached_property
+    def cells(self):
+        """Day cells of the whole history, written once: training and scoring read the same ones."""
+        return materialize(CE.day_cells(self.call_base("agent", missed=False), self.cfg))
+
+    @cached_property
+    def agents(self):
+        """First expert call and folded name per agent, from the calls and users alone."""
+        u = self.users.select(F.col("email").alias("users_email"), "role_id")
+        named = WH.calls_with_opps(self.calls, self.opps).where(F.col("record_type_id") == self.cfg.main_record_type)
+        return CA.agent_dimension(named.select("agent", "users_email", "start_time").join(u, "users_email", "left"), self.cfg)
+
     @cached_property
     def opps_train(self):
         return WH.opps_train(self.opps, self.stages, self.users, self.cfg)
@@ -75,11 +93,11 @@ class Ctx:
 
     @cached_property
     def call_window(self):
-        return CA.call_window(self.call_base("agent"), self.labels_shifted, self.cfg)
+        return CA.call_window(self.call_base("agent"), self.labels_shifted, self.cfg, agents=self.agents)
 
     @cached_property
     def call_raw(self):
-        return CA.call_features_raw(self.call_window, self.cfg)
+        return CE.features_from_cells(self.cells, self.labels_shifted, self.cfg)
 
     @cached_property
     def call_features(self):
@@ -159,23 +177,25 @@ def q_floor_days(spark, sf_dir):
     )
 
 
+WINDOW_COLUMNS = (
+    *KEY,
+    "label_opp_id",
+    "call_id",
+    "start_time",
+    "direction",
+    "duration_s",
+    "agent",
+    "agent_norm",
+    "role",
+    "missed_status",
+    "absence_flag",
+    "first_expert_call",
+    "mandate_delta_days",
+)
+
+
 def q_call_window_join(spark, sf_dir):
-    cw = Ctx(spark, sf_dir).call_window
-    return cw.select(
-        *KEY,
-        "label_opp_id",
-        "call_id",
-        "start_time",
-        "direction",
-        "duration_s",
-        "agent",
-        "agent_norm",
-        "role",
-        "missed_status",
-        "absence_flag",
-        "first_expert_call",
-        "mandate_delta_days",
-    )
+    return Ctx(spark, sf_dir).call_window.select(*WINDOW_COLUMNS)
 
 
 def q_missed_status(spark, sf_dir):
@@ -329,11 +349,6 @@ def q_correlated_features(spark, sf_dir):
 
 def q_review_csv_roundtrip(spark, sf_dir):
     """Reviews exported per source as CSV to shared storage, read back with the declared schema, then labelled."""
-    import uuid
-
-    from callpulse.session import ensure_checkpoint_dir
-    from callpulse.sources.tables import read_reviews_csv
-
     c = Ctx(spark, sf_dir)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/review_export_{uuid.uuid4().hex}"
     r = A.reviews(c.t)
@@ -399,6 +414,136 @@ def q_score_output(spark, sf_dir):
     return ML.score_output(model, ML.scoring_matrix(c, cfg), cfg)
 
 
+def q_call_window_stored(spark, sf_dir):
+    """The call window from calls stored by month, of which the labels' dates prune the partitions."""
+    c = Ctx(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/calls_{uuid.uuid4().hex}"
+    ST.write_calls(c.calls, path)
+    labels = materialize(c.labels_shifted)
+    agents = c.agents
+    c.calls = ST.read_calls(spark, path, labels, c.cfg)
+    return CA.call_window(c.call_base("agent"), labels, c.cfg, checkpoint=False, agents=agents).select(*WINDOW_COLUMNS)
+
+
+def q_call_window_score(spark, sf_dir):
+    """The account-level register (scoring variant) joined to the labels of the open mandates."""
+    c = Ctx(spark, sf_dir)
+    labels = LA.labels_score(WH.mandates_open(c.opps, c.cfg), c.cfg)
+    return CA.call_window(c.call_base("account"), labels, c.cfg, agents=c.agents).select(*WINDOW_COLUMNS, *WH.PUNCTUALITY_COLUMNS)
+
+
+def q_per_call(spark, sf_dir):
+    """One row per call of a KEY: the call's own punctuality beside the features of its KEY."""
+    c = Ctx(spark, sf_dir)
+    return AS.per_call(c.call_window, c.call_raw)
+
+
+def q_scoring_matrix(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return ML.scoring_matrix(c, c.cfg)
+
+
+def q_score_auc(spark, sf_dir):
+    """Exact AUC of stored scores against the labels of their opportunities, per day, on scores and on hard predictions."""
+    c = Ctx(spark, sf_dir)
+    good = ML.label_is_good(c.labels_train, c.cfg).select("opp_id", "is_good")
+    s = A.scores(c.t).where(F.col("opp_id").isNotNull()).join(good, "opp_id")
+    hard = F.when(F.col("proba") > 0.5, 1.0).otherwise(0.0)
+    kinds = F.array(F.struct(F.lit("probability").alias("kind"), F.col("proba").alias("score")), F.struct(F.lit("prediction").alias("kind"), hard.alias("score")))
+    s = s.select("date_pred", "is_good", F.explode(kinds).alias("k"))
+    return exact_auc(s, F.col("is_good"), F.col("k.score"), {"date_pred": F.col("date_pred"), "kind": F.col("k.kind")})
+
+
+def q_score_auc_total(spark, sf_dir):
+    """The same over all days: one running rank over the whole table."""
+    c = Ctx(spark, sf_dir)
+    good = ML.label_is_good(c.labels_train, c.cfg).select("opp_id", "is_good")
+    s = A.scores(c.t).where(F.col("opp_id").isNotNull()).join(good, "opp_id")
+    return exact_auc(s, F.col("is_good"), F.col("proba"))
+
+
+def q_sink_roundtrip(spark, sf_dir):
+    """The score table written in two runs, one of them a retry after half of its rows, and read back."""
+    s = A.scores(Tables(spark, sf_dir))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scores_{uuid.uuid4().hex}"
+    missing = [f.name for f in SCORE_SCHEMA.fields if f.name not in s.columns]
+    s = materialize(s.withColumns({c: F.lit(None) for c in missing}))
+    odd = F.dayofmonth("date_pred") % 2 == 1
+    ST.append_scores(s.where(odd & (F.col("proba") < 0.5)), path, run="odd-days")
+    ST.append_scores(s.where(~odd), path, run="even-days")
+    ST.append_scores(s.where(odd), path, run="odd-days")
+    return ST.read_scores(spark, path).select("account_id", "opp_id", "proba", "url", "date_pred")
+
+
+def q_latest_scores_stored(spark, sf_dir):
+    """Latest scores from the stored table, of which only the partitions of the last days are read."""
+    c = Ctx(spark, sf_dir)
+    s = A.scores(c.t)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scores_{uuid.uuid4().hex}"
+    missing = [f.name for f in SCORE_SCHEMA.fields if f.name not in s.columns]
+    ST.append_scores(s.withColumns({m: F.lit(None) for m in missing}), path)
+    since = c.cfg.as_of - dt.timedelta(days=c.cfg.alert_max_age_days)
+    return AL.latest_scores(ST.read_scores(spark, path, since), c.opps, c.cfg)
+
+
+def q_review_dates_parsed(spark, sf_dir):
+    """Reviews exported with dates as text, some zoned, some bad, and some malformed rows; read back tolerantly.
+
+    One row per review that could be read, its date in UTC or null; malformed rows as their number, review_id -1.
+    """
+    r = A.reviews(Tables(spark, sf_dir))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/review_text_{uuid.uuid4().hex}"
+    k = F.col("review_id")
+    wall = F.date_format("review_ts", "yyyy-MM-dd'T'HH:mm:ss")
+    text = (
+        F.when(k % 11 == 0, F.lit("not a date"))
+        .when(k % 13 == 0, F.lit("2023-02-30 10:00:00"))
+        .when(k % 5 == 0, F.concat(F.date_format(F.col("review_ts") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+        .when(k % 3 == 0, F.concat(wall, F.lit("Z")))
+        .otherwise(wall)
+    )
+    rating = F.when(k % 17 == 0, F.lit("four")).otherwise(F.col("rating").cast("string"))
+    r.select("opp_id", "account_id", text.alias("review_ts"), rating.alias("rating"), "review_id").write.option("header", True).csv(path)
+    good, bad = read_reviews_tolerant(spark, path)
+    n = bad.agg(F.count("bad_row").alias("n"))
+    return good.select("review_id", "review_ts", F.lit(1).cast("bigint").alias("n")).unionByName(
+        n.select(F.lit(-1).cast("bigint").alias("review_id"), F.lit(None).cast("timestamp_ntz").alias("review_ts"), "n")
+    )
+
+
+def q_feature_correlations(spark, sf_dir):
+    """Correlated pairs of call features over all KEYs (no KEY is left out, so there are rows at every scale)."""
+    c = Ctx(spark, sf_dir)
+    return ML.correlated_features(AS.as_double(c.call_raw).select(*CORRELATED), features=CORRELATED)
+
+
+#: call features without nulls
+CORRELATED = (
+    "n_calls_global", "in_global", "out_global", "pct_in_global", "n_calls_expert", "n_calls_bizdev", "avg_duration",
+    "unanswered_in", "unanswered_out", "pct_missed_in", "total_duration", "n_missed_rows", "last_call_out", "total_time",
+)
+
+
+def q_cells_two_days(spark, sf_dir):
+    """Features from kept cells: the history up to a cut is written first, later calls add theirs and the kept agent state is merged."""
+    c = Ctx(spark, sf_dir)
+    cut = F.lit(CELLS_CUT).cast("timestamp_ntz")
+    register = materialize(c.call_base("agent", missed=False))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cells_{uuid.uuid4().hex}"
+    old = materialize(CE.day_cells(register.where(F.col("start_time") < cut), c.cfg))
+    new = materialize(CE.day_cells(register.where(F.col("start_time") >= cut), c.cfg))
+    CE.write_cells(old, path)
+    CE.write_cells(new, path)
+    agents = CE.merge_agents(CE.agent_state(old), CE.agent_state(new))
+    labels = c.labels_shifted
+    raw = CE.features_from_cells(CE.read_cells(spark, path, labels, c.cfg), labels, c.cfg, agents)
+    return AS.as_double(raw.select(*AS.CALL_FEATURE_COLUMNS))
+
+
+#: a midnight in the middle of the test calls
+CELLS_CUT = "2024-01-16 00:00:00"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_round": q_day_round,
     "floor_days": q_floor_days,
@@ -440,4 +585,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "name_fold": q_name_fold,
     "train_score": q_train_score,
     "score_output": q_score_output,
+    "call_window_stored": q_call_window_stored,
+    "call_window_score": q_call_window_score,
+    "per_call": q_per_call,
+    "scoring_matrix": q_scoring_matrix,
+    "score_auc": q_score_auc,
+    "score_auc_total": q_score_auc_total,
+    "sink_roundtrip": q_sink_roundtrip,
+    "latest_scores_stored": q_latest_scores_stored,
+    "review_dates_parsed": q_review_dates_parsed,
+    "feature_correlations": q_feature_correlations,
+    "cells_two_days": q_cells_two_days,
 }

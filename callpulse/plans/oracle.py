@@ -7,6 +7,8 @@ medians), not from the Spark plan, so that it cross-checks the plan.
 
 from __future__ import annotations
 
+import re
+
 from callpulse.config import CRM_DATE_COLUMNS, MEDIAN_FILL_COLUMNS, MODEL_FEATURES, STAGE_COLUMNS, Config
 from callpulse.plans import oracle_adapters as OA
 from callpulse.plans.oracle_adapters import _cte, _lit, with_ctes
@@ -636,6 +638,52 @@ _cte(
 )
 
 
+# ---------------------------------------------------------------- scoring: the same chain over the labels of open mandates
+_SCORE_CHAIN = (
+    "cw", "kf", "k_last_dir", "k_last_abs", "k_last_pun", "k_days", "k_gaps", "k_exp", "k_agents", "k_pivot", "cf_raw", "cf_med",
+    "call_features", "crm_m", "crm_1", "crm_3", "crm_4", "crm_5", "crm_6", "crm_7", "crm_8", "crm_clean", "crm_features", "matrix",
+    "dedup_matrix", "impute_trace",
+)
+
+
+def _for_scoring(text: str) -> str:
+    """A definition of the chain, reading the scoring labels and the scoring definitions."""
+    text = re.sub(r"\blabels_shifted\b", "labels_score", text)
+    for name in _SCORE_CHAIN:
+        text = re.sub(rf"(?<=[FJ]ROM ){name}\b|(?<=JOIN ){name}\b", f"s_{name}", text)
+    # lists of tables after FROM
+    return re.sub(r"s_(cf_raw|dedup_matrix) ([rd]), (cf_med|\()", lambda m: f"s_{m[1]} {m[2]}, " + (f"s_{m[3]}" if m[3] != "(" else "("), text)
+
+
+for _n in _SCORE_CHAIN:
+    _deps, _body = OA.CTES[_n]
+    _cte(f"s_{_n}", tuple(f"s_{d}" if d in _SCORE_CHAIN else d.replace("labels_shifted", "labels_score") for d in _deps), _for_scoring(_body))
+
+_cte(
+    "cw_account",
+    ("call_base_account", "first_expert", "labels_score"),
+    re.sub(r"\bcall_base_agent\b", "call_base_account", re.sub(r"\blabels_shifted\b", "labels_score", OA.CTES["cw"][1])),
+)
+
+_cte(
+    "scored_labels",
+    ("scores", "labels_train"),
+    f"""SELECT s.date_pred, s.proba, coalesce(l.rating > {CFG.good_rating_above}, false) AS is_good
+FROM scores s JOIN labels_train l USING (opp_id) WHERE l.rating IS NULL OR l.rating NOT IN {inlist(CFG.ambiguous_ratings)}""",
+)
+
+
+def _auc(rows: str, group: str) -> str:
+    """Pairs counted one by one: wins and half of the ties over all pairs of a positive and a negative row."""
+    on = f"USING ({group})" if group else "ON true"
+    keys = f"{group}, " if group else ""
+    tail = f"GROUP BY {group}" if group else ""
+    sizes = f"SELECT {keys}CAST(count(*) FILTER (WHERE is_good) AS BIGINT) AS n_pos, CAST(count(*) FILTER (WHERE NOT is_good) AS BIGINT) AS n_neg FROM ({rows}) r {tail}"
+    wins = f"""SELECT {keys}sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0.0 END) AS wins
+  FROM (SELECT * FROM ({rows}) r WHERE is_good) p JOIN (SELECT * FROM ({rows}) r WHERE NOT is_good) n {on} {tail}"""
+    return f"SELECT {keys}n_pos, n_neg, wins / (n_pos * n_neg) AS auc FROM ({sizes}) z LEFT JOIN ({wins}) w {on} WHERE n_pos + n_neg > 0"
+
+
 def _rows(cte: str, cols: str = "*") -> tuple[list[str], str]:
     return [cte], f"SELECT {cols} FROM {cte}"
 
@@ -648,7 +696,8 @@ def _raw_cols(cols) -> str:
 
 
 def build() -> dict[str, str]:
-    from callpulse.plans.catalog import CRM_CLEAN_COLUMNS, RAW_VIEWS
+    from callpulse.operators.assemble import PER_CALL_FEATURES
+    from callpulse.plans.catalog import CORRELATED, CRM_CLEAN_COLUMNS, RAW_VIEWS
 
     split = f"""SELECT {K}, is_good, is_test FROM train_rows JOIN (
   SELECT opp_id, taken <= {CFG.test_fraction} * total AS is_test FROM (
@@ -722,12 +771,35 @@ WHERE opp_id NOT IN (
             f"SELECT conv_id, turn, {fold('text')} AS text_folded FROM conversations",
         ),
     }
+    window = q["call_window_join"][1]
+    q["call_window_stored"] = q["call_window_join"]
+    q["call_window_score"] = (["cw_account"], window.replace("mandate_delta_days FROM cw", f"mandate_delta_days, {PUNCT} FROM cw_account"))
+    q["per_call"] = (
+        ["cw", "cf_raw"],
+        f"""SELECT {K}, c.label_opp_id, c.call_id, c.start_time, c.{PUNCT.replace(', ', ', c.')}, {", ".join("f." + x for x in PER_CALL_FEATURES)}
+FROM cw c JOIN cf_raw f USING ({K})""",
+    )
+    q["scoring_matrix"] = _rows("s_impute_trace")
+    both = """SELECT date_pred, is_good, 'probability' AS kind, proba AS score FROM scored_labels
+UNION ALL SELECT date_pred, is_good, 'prediction', CASE WHEN proba > 0.5 THEN 1.0 ELSE 0.0 END FROM scored_labels"""
+    q["score_auc"] = (["scored_labels"], _auc(both, "date_pred, kind"))
+    q["score_auc_total"] = (["scored_labels"], _auc("SELECT is_good, proba AS score FROM scored_labels", ""))
+    q["sink_roundtrip"] = _rows("scores", "account_id, opp_id, proba, url, date_pred")
+    q["latest_scores_stored"] = _rows("latest_scores")
+    q["review_dates_parsed"] = (
+        ["reviews"],
+        """SELECT review_id, CASE WHEN review_id % 11 = 0 OR review_id % 13 = 0 THEN NULL ELSE review_ts END AS review_ts, CAST(1 AS BIGINT) AS n
+FROM reviews WHERE review_id % 17 <> 0
+UNION ALL SELECT -1, NULL, count(*) FROM reviews WHERE review_id % 17 = 0""",
+    )
+    pairs = [(a, b) for i, a in enumerate(CORRELATED) for b in CORRELATED[i + 1 :]]
+    each = ", ".join(f"struct_pack(feature_a := '{a}', feature_b := '{b}', corr := corr({a}, {b}))" for a, b in pairs)
+    q["feature_correlations"] = (["cf_raw"], f"SELECT * FROM (SELECT unnest([{each}], recursive := true) FROM cf_raw) WHERE abs(corr) > 0.85 AND NOT isnan(corr)")
     from callpulse.operators.assemble import CALL_FEATURE_COLUMNS
 
     q["call_features_raw"] = (["cf_raw"], f"SELECT {_raw_cols(CALL_FEATURE_COLUMNS[3:])} FROM cf_raw")
+    q["cells_two_days"] = q["call_features_raw"]
     for name, cols in RAW_VIEWS.items():
         q[name] = (["cf_raw"], f"SELECT {_raw_cols(cols)} FROM cf_raw")
     return {name: with_ctes(needs, body) for name, (needs, body) in q.items()}
 
-
-_ = OA

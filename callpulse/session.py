@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,5 +72,27 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{root}/tables/{uuid.uuid4().hex}"
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """The tables that ``materialize`` writes inside, by the same thread, are removed at the end, also after an error.
+
+    For jobs, which have written their results by then; a frame that is read later must not depend on such a table.
+    """
+    mine: list[str] = []
+    token = _scopes.set((*_scopes.get(), mine))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in mine:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -7,8 +7,8 @@ derived here with deterministic column rules (documented in FIXTURES.md).
 The DuckDB oracle (``callpulse.plans.oracle``) repeats the same rules in SQL.
 
 All derivations are row-wise projections, group-bys with map-side partial
-aggregation, or equi-joins on a key, so they scale with the inputs; no
-window is partitioned by a possibly hot key.
+aggregation, or equi-joins on a key, so they scale with the inputs. The windows that number a customer's orders
+run over ranges of order keys (at most ``ORDER_RANGE`` rows) and over the counts of the ranges, not over the orders of a customer.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ SCHEDULE_SUBJECTS = ("Rendez-vous téléphonique", "Rendez-vous visio")
 TREATMENTS = ("", None, "done")
 URL_PREFIX = "https://crm.example.org/opportunity/"
 
+#: order keys of a range that is numbered in one piece
+ORDER_RANGE = 65_536
+
 
 def _pick(values, idx: Column) -> Column:
     """``values[idx]`` for a 0-based integer index column."""
@@ -67,12 +70,17 @@ def _events_with_project(t: Tables, where: Column | None = None) -> DataFrame:
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     if where is not None:
         ev = ev.where(where)
-    count = t.orders.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count(F.lit(1)).alias("n_orders"))
-    order = t.orders.select(
-        F.col("o_custkey").alias("user_id"),
-        (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).cast("bigint").alias("nth"),
-        F.col("o_orderkey").alias("project_id"),
-    )
+    # two levels: orders are numbered inside ranges of ORDER_RANGE keys, each range starts where the ones before it end
+    o = t.orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("project_id"))
+    o = o.withColumn("_range", F.floor(F.col("project_id") / ORDER_RANGE))
+    ranges = o.groupBy("user_id", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("user_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("user_id", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("user_id", "_range").orderBy("project_id")
+    order = o.withColumn("_in", F.row_number().over(inside) - 1).join(starts, ["user_id", "_range"])
+    order = order.select("user_id", (F.col("_start") + F.col("_in")).cast("bigint").alias("nth"), "project_id")
+    # the key is written as an expression, so that both sides of the join come from a shuffle and a hot customer's events are split
+    count = ranges.groupBy("user_id").agg(F.sum("_n").alias("n_orders")).select(F.expr("user_id ^ 0").alias("user_id"), "n_orders")
     ev = ev.join(count, "user_id", "left").withColumn("nth", F.col("event_id") % F.col("n_orders"))
     return ev.join(order, ["user_id", "nth"], "left").drop("nth", "n_orders")
 

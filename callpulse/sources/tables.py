@@ -8,8 +8,11 @@ never inferred.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callpulse.functions.timefns import parse_utc
+
 DRIVER_TABLES = (
     "region",
     "nation",
@@ -81,13 +84,30 @@ class Tables:
         return self._cache[name]
 
 
-def read_driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(spark, sf_dir)
+#: the column that holds the text of a malformed row
+BAD_ROW = "_bad_row"
 
 
 def read_reviews_csv(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """One review export (header row, declared schema). ``extra`` names trailing columns
-    that some exports carry; they are read as strings and dropped."""
-    schema = T.StructType(REVIEW_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in extra])
-    df = spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE", enforceSchema=False)
-    return df.drop(*extra) if extra else df
+    that some exports carry; they are read as strings and dropped. Malformed rows are left out;
+    ``read_reviews_tolerant`` gives them back."""
+    return read_reviews_tolerant(spark, path, extra)[0]
+
+
+def read_reviews_tolerant(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(reviews, quarantined rows) of one export.
+
+    ``review_ts`` is read as text and parsed by ``parse_utc``: a bad date becomes null and the row stays, as an unknown date.
+    A row whose other fields do not have their types, or which has too many or too few fields, is quarantined: its text as ``bad_row``.
+    """
+    text_dates = [T.StructField(f.name, T.StringType() if f.name == "review_ts" else f.dataType) for f in REVIEW_SCHEMA.fields]
+    schema = T.StructType(text_dates + [T.StructField(c, T.StringType()) for c in (*extra, BAD_ROW)])
+    df = spark.read.csv(
+        path, header=True, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, enforceSchema=True
+    )
+    # a scan of some columns would not notice that the others are malformed: all are read, whatever is selected later
+    df = df.where(F.xxhash64(*REVIEW_SCHEMA.names) >= F.lit(-(1 << 63)))
+    good = df.where(F.col(BAD_ROW).isNull()).withColumn("review_ts", parse_utc("review_ts")).select(*REVIEW_SCHEMA.names)
+    bad = df.where(F.col(BAD_ROW).isNotNull()).select(F.col(BAD_ROW).alias("bad_row"), F.lit(path).alias("path"))
+    return good, bad

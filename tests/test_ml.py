@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_train_save_load_score(spark):
-    cfg = Config(num_trees=10, min_instances_per_node=5)
+    cfg = Config(num_trees=10, min_instances_per_node=5, min_samples_split=12)
     ctx = Ctx(spark, SF, cfg)
     model, metrics = ML.train(ctx.matrix, cfg)
     m = metrics.first()
@@ -25,8 +25,8 @@ def test_train_save_load_score(spark):
     rows = scored.collect()
     assert all(0.0 <= r["proba"] <= 1.0 for r in rows)
     path = os.path.join(tempfile.mkdtemp(prefix="callpulse-model-"), "m")
-    SK.save_model(model, path)
-    again = ML.score_output(SK.load_model(path), ML.scoring_matrix(ctx, cfg), cfg)
+    SK.save_model(spark, model, path)
+    again = ML.score_output(SK.load_model(spark, path), ML.scoring_matrix(ctx, cfg), cfg)
     a = {(r["opp_id"], r["proba"]) for r in rows}
     b = {(r["opp_id"], r["proba"]) for r in again.collect()}
     assert a == b
