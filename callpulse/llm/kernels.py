@@ -7,6 +7,7 @@ the longest text and not the number of rows of a batch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,6 +26,10 @@ FOLDED[65:91] = BYTE[97:123]
 #: the separators of words: space and the bytes 0x09 to 0x0D
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: words of more bytes than this get a hash without algebraic structure
+LONG_WORD = 32
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE2 = 0xC2B2AE3D27D4EB4F | 1
 
@@ -114,8 +119,27 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False, base: int = BASE) -> np.ndarray:
+    """64-bit hash of each word; another ``base`` gives an independent one.
+
+    A polynomial modulo 2**64 is weak on long structured words (two Thue-Morse words of 2,048 letters
+    collide under every odd base), so words over ``LONG_WORD`` bytes are hashed by BLAKE2b.
+    """
     h = span_hash((FOLDED if fold else BYTE)[data], starts, ends, base)
-    return mix(h + (ends - starts).astype(U64) * U64(BASE2))
+    h = mix(h + (ends - starts).astype(U64) * U64(BASE2))
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    key = base.to_bytes(8, "little")
+    for i, a, b in zip(long.tolist(), starts[long].tolist(), ends[long].tolist()):
+        word = LOWER[data[a:b]] if fold else data[a:b]
+        h[i] = int.from_bytes(hashlib.blake2b(word.tobytes(), digest_size=8, key=key).digest(), "little")
+    return h
+
+
+def digests(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit BLAKE2b digest of values[start:end] for each span, as two 64-bit numbers."""
+    out = np.empty((len(starts), 2), U64)
+    for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        out[i] = np.frombuffer(hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest(), "<u8")
+    return out[:, 0].copy(), out[:, 1].copy()
 
 
 def run_hash(values: np.ndarray, size: int, base: int = BASE2) -> np.ndarray:

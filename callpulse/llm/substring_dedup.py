@@ -13,7 +13,7 @@ Steps:
    and lose all their words but for that one;
 2. anchors found in two texts or more go back to their texts, where they are
    extended: the windows that contain one are the candidates;
-3. 96-bit hashes of the candidate windows give the smallest doc_id of each
+3. 96-bit hashes of the candidate windows (of two independent hashes of each word) give the smallest doc_id of each
    word sequence; windows that start in a larger doc_id are repeats;
 4. every word covered by a repeat is removed.
 
@@ -76,6 +76,10 @@ class _Texts:
         self.index = np.arange(len(self.start)) - self.first[self.row]
         self.hash = K.word_hashes(data, self.start, self.end, base=base)
 
+    def second(self) -> np.ndarray:
+        """Word hashes that are independent of ``hash``."""
+        return K.word_hashes(self.data, self.start, self.end, base=K.BASE2)
+
     def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Word places of the anchors, and their hashes; rows shorter than a window have none."""
         v, cover = cover_for(window)
@@ -111,15 +115,15 @@ def _anchor_rows(window: int):
                 keep = np.ones(len(h), bool)
                 keep[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
                 h, row = h[keep], row[keep]
-                c1 = K.span_hash(t.hash, t.first[:-1], t.first[1:])
-                c2 = K.span_hash(K.mix(t.hash ^ np.uint64(K.BASE)), t.first[:-1], t.first[1:], K.BASE2)
                 long = np.diff(t.first) >= window  # the others have no anchors
+                pair = np.stack([t.hash, t.second()], axis=1)
+                c1, c2 = K.digests(pair, t.first[:-1][long], t.first[1:][long])
                 ends = np.searchsorted(row, np.flatnonzero(long), "right").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs[a:b][long].astype(np.int64)),
-                        pa.array(c1[long].view(np.int64)),
-                        pa.array(c2[long].view(np.int64)),
+                        pa.array(c1.view(np.int64)),
+                        pa.array(c2.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), ends)), pa.array(h.view(np.int64))),
                     ],
                     ["doc", "c1", "c2", "hs"],
@@ -160,7 +164,7 @@ def _window_rows(window: int):
                     whole[: n - window + 1] = t.row[: n - window + 1] == t.row[window - 1 :]
                 s = np.flatnonzero((np.cumsum(d[:n]) > 0) & whole)
                 h1 = K.run_hash(t.hash, window)[s] if len(s) else np.empty(0, np.uint64)
-                h2 = K.run_hash(K.mix(t.hash ^ np.uint64(K.BASE)), window, K.BASE)[s] if len(s) else h1
+                h2 = K.run_hash(t.second(), window, K.BASE)[s] if len(s) else h1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(h1.view(np.int64)),

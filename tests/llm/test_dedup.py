@@ -119,3 +119,24 @@ def test_sql_twins(spark):
     for name in ("op1_substring_dedup", "op4_minhash", "op6_suffix_dedup", "op8_decontaminate"):
         out = compare(name, E.queries()[name](spark, sf), con, E.oracle_sql()[name])
         assert out.ok, (name, out.detail)
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_structured_words_do_not_collide(spark):
+    """Words of 2,048 letters that every polynomial hash modulo 2**64 with an odd base takes for equal."""
+    x, y = _thue_morse(2048), _thue_morse(2048).translate(str.maketrans("ab", "ba"))
+    around = [f"w{i}" for i in range(30)]
+    docs = [(1, " ".join([*around, x, *around])), (2, " ".join([*around, y, *around])), (3, " ".join([*around, x.upper(), *around]))]
+    # whole texts whose words are such sequences
+    docs += [(4, " ".join(x)), (5, " ".join(y)), (6, " ".join(x))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeated_passages(df, texts=False).collect()}
+    assert got == brute.passages(docs)
+    assert got[2][1] == 0 and got[3][1] == 0
+    small = [(1, " ".join([*around[:5], x, *around[:4]])), (2, " ".join([*around[:5], y, *around[:4]])), (3, " ".join([*around[:5], x.upper(), *around[:4]]))]
+    near = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(small, df.schema), shingle=4).collect()}
+    assert near == brute.near_groups(small, 4)
+    assert near[2][1] == 2 and near[3][1] == 1
