@@ -89,10 +89,16 @@ def fill(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in values.items()})
 
 
-def call_features_all(raw: DataFrame, cfg: Config) -> DataFrame:
-    """Median-filled call features; KEYs lacking a real call, punctuality stats or a fill value are dropped."""
-    med = fit_medians(raw, MEDIAN_FILL_COLUMNS, weight="n_rows")
-    out = fill(raw, med)
+def call_features_all(raw: DataFrame, cfg: Config, impute: str = "median") -> DataFrame:
+    """Filled call features; KEYs lacking a real call, punctuality stats or a fill value are dropped.
+
+    ``impute="median"``: the call-weighted median of the KEYs that have a value, as in the original;
+    ``impute="zero"``: a KEY without such calls has none, so 0.
+    """
+    if impute not in ("median", "zero"):
+        raise ValueError(impute)
+    fills = fit_medians(raw, MEDIAN_FILL_COLUMNS, weight="n_rows") if impute == "median" else dict.fromkeys(MEDIAN_FILL_COLUMNS, 0.0)
+    out = fill(raw, fills)
     required = ["first_call", "last_call", "max_mandate", *PUNCTUALITY_COLUMNS, *MEDIAN_FILL_COLUMNS]
     out = out.na.drop(how="any", subset=required)
     return as_double(out.select(*CALL_FEATURE_COLUMNS))
@@ -114,14 +120,13 @@ CRM_FEATURE_COLUMNS = (
 def features_joined(call_features: DataFrame, crm: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Call features left-joined to the CRM features and label on KEY.
 
-    Both KEY-grain inputs are written to the checkpoint folder first: it cuts
-    the lineage (a lost executor re-reads them) and keeps the optimizer's
-    constraint inference from growing with the number of derived columns.
+    The CRM side is written first: it cuts the lineage (a lost executor re-reads it) and keeps the optimizer's
+    constraint inference from growing with the number of derived columns. The call side is a projection of the written
+    raw features.
     """
     c = crm.select(*KEY, "rating", "mandate_delta_days", *CRM_FEATURE_COLUMNS)
     if checkpoint:
         c = materialize(c)
-        call_features = materialize(call_features)
     return call_features.join(c, list(KEY), "left")
 
 
@@ -149,12 +154,9 @@ def impute_trace(matrix: DataFrame, cfg: Config) -> DataFrame:
     (" / name" per column). Rows without a mandate delta stay out.
     """
     # keep-first per (account, opp): latest reference date, then smallest KEY order (total order)
-    payload = [c for c in matrix.columns if c not in ("account_id", "opp_id")]
-    picked = matrix.groupBy("account_id", "opp_id").agg(
-        F.max_by(F.struct(*payload), F.struct("ref_date")).alias("_p")
-    )
-    m = picked.select("account_id", "opp_id", *[F.col("_p")[c].alias(c) for c in payload])
-    m = m.select("account_id", "opp_id", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
+    # fixed-width picks keep the aggregation hash-based; a null at the latest date stays a null
+    doubles = matrix.select("account_id", "opp_id", "ref_date", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
+    m = doubles.groupBy("account_id", "opp_id").agg(*[F.max_by(c, "ref_date").alias(c) for c in MODEL_FEATURES])
     m = materialize(m)  # read by the three median passes and the fill
     med = fit_medians(m, SCORE_IMPUTED)
     trace = F.concat(*[F.when(F.col(c).isNull(), F.lit(f" / {c}")).otherwise(F.lit("")) for c in SCORE_IMPUTED])

@@ -174,9 +174,10 @@ def slots(cells: DataFrame, cfg: Config) -> DataFrame:
 # -- windows --------------------------------------------------------------------------
 
 
-def account_dates(labels: DataFrame) -> DataFrame:
-    """account_id, ref_date, times (labels of the account at that date), mandate_date (their latest)."""
-    return labels.groupBy("account_id", "ref_date").agg(F.count(F.lit(1)).alias("times"), F.max("mandate_date").alias("mandate_date"))
+def account_dates(labels: DataFrame, distinct: bool = False) -> DataFrame:
+    """account_id, ref_date, times (labels of the account at that date; 1 if ``distinct``), mandate_date (their latest)."""
+    times = F.lit(1).cast("long") if distinct else F.count(F.lit(1))
+    return labels.groupBy("account_id", "ref_date").agg(times.alias("times"), F.max("mandate_date").alias("mandate_date"))
 
 
 def _flat(slot_rows: DataFrame, dates: DataFrame, cfg: Config) -> DataFrame:
@@ -227,14 +228,18 @@ def _agents(cells: DataFrame, dates: DataFrame, agents: DataFrame, cfg: Config)
     )
 
 
-def features_from_cells(cells: DataFrame, labels: DataFrame, cfg: Config, agents: DataFrame | None = None, checkpoint: bool = True) -> DataFrame:
+def features_from_cells(
+    cells: DataFrame, labels: DataFrame, cfg: Config, agents: DataFrame | None = None, checkpoint: bool = True, distinct_ref_dates: bool = False
+) -> DataFrame:
     """Per-KEY call features before median imputation (KEYs with at least one named agent).
 
     ``agents``: kept state of ``agent_state`` over the whole history; by default that of the cells given.
+    Calls meet labels by account, so two labels of one account and date count each call twice, as in the original;
+    with ``distinct_ref_dates`` once.
     """
     agents = agent_state(cells) if agents is None else agents
     agents = agents.select("agent", "first_expert_call", fold_text(F.col("agent")).alias("agent_norm"))
-    dates = account_dates(labels)
+    dates = account_dates(labels, distinct_ref_dates)
     if checkpoint:
         dates = materialize(dates)  # read by the bounds and by both joins
     span = label_span(dates, cfg)

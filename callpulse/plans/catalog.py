@@ -540,6 +540,19 @@ def q_cells_two_days(spark, sf_dir):
     return AS.as_double(raw.select(*AS.CALL_FEATURE_COLUMNS))
 
 
+def q_call_features_zero(spark, sf_dir):
+    """Features with 0 instead of a median where a KEY has no such calls."""
+    c = Ctx(spark, sf_dir)
+    return AS.call_features_all(c.call_raw, c.cfg, impute="zero")
+
+
+def q_call_features_distinct(spark, sf_dir):
+    """Raw features with each call counted once per reference date, however many labels the account has there."""
+    c = Ctx(spark, sf_dir)
+    raw = CE.features_from_cells(c.cells, c.labels_shifted, c.cfg, distinct_ref_dates=True)
+    return AS.as_double(raw.select(*AS.CALL_FEATURE_COLUMNS))
+
+
 #: a midnight in the middle of the test calls
 CELLS_CUT = "2024-01-16 00:00:00"
 
@@ -596,4 +609,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_dates_parsed": q_review_dates_parsed,
     "feature_correlations": q_feature_correlations,
     "cells_two_days": q_cells_two_days,
+    "call_features_zero": q_call_features_zero,
+    "call_features_distinct": q_call_features_distinct,
 }

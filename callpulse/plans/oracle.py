@@ -646,18 +646,30 @@ _SCORE_CHAIN = (
 )
 
 
-def _for_scoring(text: str) -> str:
-    """A definition of the chain, reading the scoring labels and the scoring definitions."""
-    text = re.sub(r"\blabels_shifted\b", "labels_score", text)
-    for name in _SCORE_CHAIN:
-        text = re.sub(rf"(?<=[FJ]ROM ){name}\b|(?<=JOIN ){name}\b", f"s_{name}", text)
-    # lists of tables after FROM
-    return re.sub(r"s_(cf_raw|dedup_matrix) ([rd]), (cf_med|\()", lambda m: f"s_{m[1]} {m[2]}, " + (f"s_{m[3]}" if m[3] != "(" else "("), text)
+def _chain_on(labels: str, prefix: str, chain) -> None:
+    """Definitions of the chain again, under a prefix, reading other labels and each other."""
 
+    def again(text: str) -> str:
+        text = re.sub(r"\blabels_shifted\b", labels, text)
+        for name in chain:
+            text = re.sub(rf"(?<=FROM ){name}\b|(?<=JOIN ){name}\b", prefix + name, text)
+        # a table that follows another one after FROM
+        return re.sub(rf"({prefix}cf_raw r, )cf_med\b", rf"\1{prefix}cf_med", text)
 
-for _n in _SCORE_CHAIN:
-    _deps, _body = OA.CTES[_n]
-    _cte(f"s_{_n}", tuple(f"s_{d}" if d in _SCORE_CHAIN else d.replace("labels_shifted", "labels_score") for d in _deps), _for_scoring(_body))
+    for name in chain:
+        deps, body = OA.CTES[name]
+        _cte(prefix + name, tuple(prefix + d if d in chain else d.replace("labels_shifted", labels) for d in deps), again(body))
+
+
+_chain_on("labels_score", "s_", _SCORE_CHAIN)
+
+_cte(
+    "labels_distinct",
+    ("labels_shifted",),
+    """SELECT min(opp_id) AS opp_id, account_id, ref_date, max(mandate_date) AS mandate_date, CAST(NULL AS DOUBLE) AS rating,
+       CAST(NULL AS BIGINT) AS mandate_delta_days FROM labels_shifted GROUP BY account_id, ref_date""",
+)
+_chain_on("labels_distinct", "d_", _SCORE_CHAIN[: _SCORE_CHAIN.index("cf_raw") + 1])
 
 _cte(
     "cw_account",
@@ -799,6 +811,9 @@ UNION ALL SELECT -1, NULL, count(*) FROM reviews WHERE review_id % 17 = 0""",
 
     q["call_features_raw"] = (["cf_raw"], f"SELECT {_raw_cols(CALL_FEATURE_COLUMNS[3:])} FROM cf_raw")
     q["cells_two_days"] = q["call_features_raw"]
+    q["call_features_distinct"] = (["d_cf_raw"], q["call_features_raw"][1].replace("FROM cf_raw", "FROM d_cf_raw"))
+    zero = re.sub(r"m\.(\w+)\) AS", r"0.0) AS", OA.CTES["call_features"][1]).replace("cf_raw r, cf_med m", "cf_raw r")
+    q["call_features_zero"] = (["cf_raw"], zero)
     for name, cols in RAW_VIEWS.items():
         q[name] = (["cf_raw"], f"SELECT {_raw_cols(cols)} FROM cf_raw")
     return {name: with_ctes(needs, body) for name, (needs, body) in q.items()}
