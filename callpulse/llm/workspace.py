@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,15 @@ class Workspace:
     Each table is written once and read by several later branches; a lost
     executor re-reads it. While a table is written Spark is asked to remove
     the shuffle files of that execution at its end: the table replaces them, so
-    the disk holds one step at a time. ``drop`` removes the folder; call it when
-    the operator's result has been written.
+    the disk holds one step at a time. ``drop`` removes the folder; who made it calls that when
+    the operator's result has been written (``owned`` collects those that operators make themselves).
     """
 
     def __init__(self, spark: SparkSession, label: str, listed: bool = True):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        if listed:
-            OPEN.append(self)
+        if _collecting.get():
+            _collecting.get()[-1].append(self)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -39,8 +40,6 @@ class Workspace:
 
     def drop(self) -> None:
         self._remove(self.root)
-        if self in OPEN:
-            OPEN.remove(self)
 
     def _remove(self, path: str) -> None:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -74,13 +73,20 @@ MODEST_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-#: folders of this process that have not been dropped, oldest first
-OPEN: list[Workspace] = []
+
+_collecting: ContextVar[tuple[list[Workspace], ...]] = ContextVar("collecting", default=())
+
+
+@contextmanager
+def owned():
+    """Collects the workspaces that are made inside, by the same thread, for who writes the result and drops them then."""
+    mine: list[Workspace] = []
+    token = _collecting.set((*_collecting.get(), mine))
+    try:
+        yield mine
+    finally:
+        _collecting.reset(token)
 
 
 def drop_finished(docs: DataFrame) -> None:
-    """Drop every open folder that ``docs`` does not read. For steps whose input is all that is still needed."""
-    files = docs.inputFiles()
-    for w in list(OPEN):
-        if not any(w.root.split("://")[-1] in f for f in files):
-            w.drop()
+    """Nothing is left to drop: who makes a workspace drops it."""
