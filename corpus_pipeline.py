@@ -23,17 +23,18 @@ from callpulse.llm.language_id import DIMENSIONS, free_name, predict, train
 from callpulse.llm.minhash import near_duplicates
 from callpulse.llm.queries import tokenizer_path
 from callpulse.llm.suffix_dedup import strip_repeated_bytes
-from callpulse.llm.workspace import MODEST_BATCHES, Workspace, drop_finished
+from callpulse.llm.workspace import Workspace, owned
 
 #: not expressible in SQL (trained language profiles, tokenizer); tested against a brute-force version
 ORACLE_SQL = None
 
 
-def _start(spark: SparkSession, docs: DataFrame) -> None:
-    """The tables of earlier stages go, and this job's session sends whole texts in modest Arrow batches."""
-    drop_finished(docs)
-    for key, value in MODEST_BATCHES.items():
-        spark.conf.set(key, value)
+def _written(spark: SparkSession, rows: DataFrame, mine: list[Workspace]) -> DataFrame:
+    """The rows in a table of their own; the tables that led to them go. The stage's result needs nothing else."""
+    table = Workspace(spark, "decisions").table(rows, "gone")
+    for work in mine:
+        work.drop()
+    return table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,6 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     If there was no row to learn from, texts with a letter stay and a missing lang stays missing.
     """
-    _start(spark, docs)
     pred, score = free_name("lang", docs.columns), free_name("score", docs.columns)
     # one language without a name stands for those that could not be learned
     found = predict(docs, train(docs) or {"": np.zeros(DIMENSIONS)}, (pred, score)).where(F.col(pred) != "und")
@@ -50,27 +50,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of the smallest doc_id."""
-    _start(spark, docs)
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    with owned() as mine:
+        groups = near_duplicates(docs)
+    gone = _written(spark, groups.where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), mine)
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings that occur earlier in the corpus are taken out of the texts."""
-    _start(spark, docs)
     return strip_repeated_bytes(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    _start(spark, docs)
-    gone = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("__gone")).distinct()
+    with owned() as mine:
+        found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = _written(spark, found.select(F.col("doc_id").alias("__gone")).distinct(), mine)
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text, with digests of the ids and of the decoded text."""
-    _start(spark, docs)
     return encode_texts(docs, tokenizer_path(), with_ids=True)
 
 
@@ -84,13 +84,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir; each result but the last is written and reread."""
-    work = Workspace(spark, "pipeline", listed=False)
+    """All stages over the documents of sf_dir; each result but the last is written and reread.
+
+    A stage's own tables go when its result has been written, and so does the result before it.
+    """
+    work = Workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = work.table(docs, name)
-            if k:
-                work.delete(STAGES[k - 1][0])
-    return docs
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        with owned() as mine:
+            docs = work.table(stage(spark, docs, sf_dir), name)
+        for w in mine:
+            w.drop()
+        if k:
+            work.delete(STAGES[k - 1][0])
+    return STAGES[-1][1](spark, docs, sf_dir)
