@@ -84,3 +84,34 @@ def context_totals(histogram: DataFrame) -> DataFrame:
             (F.col("docs_up_to") / F.col("docs_total")).alias("quantile"),
         )
     )
+
+
+def totals_at(histogram: DataFrame, limits: DataFrame) -> DataFrame:
+    """The rows of ``context_totals`` for any limits (column ``limit``), also those that no document has.
+
+    A limit joins the histogram as a length of no documents, so the same suffix sums answer it. Null and negative limits
+    have no row; repeated ones have one; on an empty histogram there is none.
+    """
+    asked = limits.select(F.col("limit").cast("long").alias("length")).where("length >= 0").distinct()
+    known = histogram.select("length", F.col("n_docs").cast("long").alias("n_docs"))
+    both = known.unionByName(asked.select("length", F.lit(0).cast("long").alias("n_docs"))).groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
+    rows = context_totals(both).where(F.col("docs_up_to") + F.col("docs_longer") > 0)
+    return rows.join(asked.withColumnRenamed("length", "context_limit"), "context_limit", "left_semi")
+
+
+def lengths_at(histogram: DataFrame, shares: DataFrame) -> DataFrame:
+    """share, length: the smallest length that at least this share of the documents does not exceed (column ``share``, 0 to 1).
+
+    A share is a rank among the documents; it finds its block among the block totals (as many rows as the longest
+    document has blocks), then its length among the rows of that block. Null shares and those outside 0 to 1 have no row.
+    """
+    t = context_totals(histogram).select(
+        F.col("context_limit").alias("length"), F.col("docs_up_to").alias("upto"), "n_docs", (F.col("docs_up_to") + F.col("docs_longer")).alias("all")
+    )
+    t = t.withColumn("block", F.floor(F.col("length") / BLOCK))
+    blocks = t.groupBy("block").agg(F.min(F.col("upto") - F.col("n_docs")).alias("lo"), F.max("upto").alias("hi"), F.max("all").alias("all"))
+    asked = shares.select(F.col("share").cast("double").alias("share")).where("share between 0 and 1").distinct()
+    rank = F.greatest(F.ceil(F.col("share") * F.col("all")), F.lit(1))
+    placed = asked.join(blocks, (rank > F.col("lo")) & (rank <= F.col("hi"))).select("share", "block", rank.alias("rank"))
+    inside = (F.col("rank") > F.col("upto") - F.col("n_docs")) & (F.col("rank") <= F.col("upto"))
+    return placed.join(t, "block").where(inside).select("share", "length")

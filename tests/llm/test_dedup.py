@@ -121,6 +121,27 @@ def test_sql_twins(spark):
         assert out.ok, (name, out.detail)
 
 
+def test_a_held_result_outlives_a_pipeline_run(spark):
+    """The pipeline removes its own tables only, restores nothing it did not change, and leaves no folder behind."""
+    import os
+
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).cache()
+    held = remove_repeated_bytes(docs, texts=False)
+    near = near_duplicates(docs)
+    before = (sorted(held.collect()), sorted(near.collect()))
+    root = spark.sparkContext.getCheckpointDir().split("://")[-1].removeprefix("file:")
+    folders = set(os.listdir(root))
+    corpus_pipeline.run(spark, sf).count()
+    assert (sorted(held.collect()), sorted(near.collect())) == before
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+    # what is left is the table that the lazy last stage reads
+    assert {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - folders} == {"pipeline"}
+
+
 def _thue_morse(n):
     return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
 

@@ -16,7 +16,7 @@ from callpulse.llm.decontaminate import leaks
 from callpulse.llm.html_extract import extract, main_texts, parse
 from callpulse.llm.license_scan import license_matches
 from callpulse.llm.queries import tokenizer_path
-from callpulse.llm.token_counts import context_totals, length_histogram
+from callpulse.llm.token_counts import context_totals, length_histogram, lengths_at, totals_at
 
 from . import brute
 
@@ -253,6 +253,44 @@ def test_licences(spark, no_docs):
     assert license_matches(no_docs).count() == 0 and license_matches(spark.createDataFrame(rows, "doc_id long, text string"), {}).count() == 0
 
 
+def test_totals_and_quantiles_for_any_limit(spark):
+    rnd = random.Random(6)
+    lengths = [rnd.choice([0, 1, 5, 255, 256, 257, rnd.randint(0, 9000)]) for _ in range(400)]
+    h = spark.createDataFrame(list(Counter(lengths).items()), "length long, n_docs long").repartition(3)
+    limits = [0, 1, 2, 255, 256, 300, 2048, 9_001, 100_000, 2048, None, -5]
+    got = totals_at(h, spark.createDataFrame([(x,) for x in limits], "limit long")).collect()
+    assert sorted(r.context_limit for r in got) == sorted({x for x in limits if x is not None and x >= 0})
+    for r in got:
+        x = r.context_limit
+        assert r.tokens_truncated == sum(min(n, x) for n in lengths) and r.tokens_total == sum(lengths)
+        assert r.docs_up_to == sum(n <= x for n in lengths) and r.docs_longer == sum(n > x for n in lengths)
+    shares = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0, None, 2.0]
+    found = {r.share: r.length for r in lengths_at(h, spark.createDataFrame([(x,) for x in shares], "share double")).collect()}
+    want = {x: min(n for n in lengths if sum(m <= n for m in lengths) >= max(1, x * len(lengths))) for x in shares if x is not None and x <= 1}
+    assert found == want
+    empty = h.where("length < 0")
+    assert totals_at(empty, spark.createDataFrame([(5,)], "limit long")).count() == 0
+    assert lengths_at(empty, spark.createDataFrame([(0.5,)], "share double")).count() == 0
+
+
+def test_leaks_of_long_items_stems_and_repeats(spark):
+    """Shared stems, a long item inside a longer text, repeated words, items longer than the text: against the plain version."""
+    rnd = random.Random(12)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    stem = "which of the following answers is the best one to choose here"
+    items = [(i, f"{stem} {prose(rnd.randint(1, 12))}") for i in range(25)] + [(100, prose(160)), (101, "one two three four"), (102, prose(20) + " na" * 30), (103, stem)]
+    docs = [(i, f"{prose(10)} {t} {prose(15)}") for i, t in items[::3]]
+    docs += [(200, f"{prose(50)} {items[25][1]} {prose(200)}"), (201, " ".join(items[25][1].split()[:140])), (202, f"{stem} and nothing else"), (203, (stem + " ") * 8)]
+    docs += [(204, prose(10) + " " + items[27][1].replace(" na", " na na", 2)), (205, "One TWO three four"), (206, "one two three"), (207, None)]
+    w = items[25][1].split()
+    w[70:74] = ["x"]
+    docs.append((208, f"{prose(30)} {' '.join(w)} {prose(30)}"))
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute.leaks([d for d in docs if d[1]], items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert len(want) >= 15
+
+
 def test_licences_with_edits(spark):
     """Notices with words changed, left out or put in, against alignment on every diagonal."""
     import re
