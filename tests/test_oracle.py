@@ -36,6 +36,19 @@ SUBSET = (
     "stratified_split",
     "alerts_new",
     "name_fold",
+    "call_window_stored",
+    "call_window_score",
+    "per_call",
+    "scoring_matrix",
+    "score_auc",
+    "score_auc_total",
+    "sink_roundtrip",
+    "latest_scores_stored",
+    "review_dates_parsed",
+    "feature_correlations",
+    "cells_two_days",
+    "call_features_zero",
+    "call_features_distinct",
 )
 
 
