@@ -39,8 +39,8 @@ def exact_medians(
     df: DataFrame,
     cols,
     weight: str | None = None,
-    buckets: int = 256,
-    accuracy: int = 10000,
+    buckets: int = 128,
+    accuracy: int = 1000,
 ) -> dict[str, float | None]:
     """Exact medians of ``cols`` (each row counted ``weight`` times); nulls and NaN do not count."""
     cols = list(cols)
