@@ -3,22 +3,26 @@
 A k-mer of the UTF-8 bytes is a closed syncmer if the smallest of its inner
 s-mers (a hash order) is its first or its last. Whether it is one depends on
 the k-mer alone, so equal passages carry equal anchors at equal distances,
-whatever surrounds them. ``anchors`` gives them with their places, for
-positional matching. The fingerprint of a document is the ``KEPT`` smallest
-distinct hashes of its syncmers, as hexadecimal text; the likeness of two
-fingerprints estimates the Jaccard similarity of the two syncmer sets from the
-smallest ``KEPT`` hashes of their union.
+whatever surrounds them. ``anchors`` gives them with their places. The
+fingerprint of a document is the ``KEPT`` smallest distinct hashes of its
+syncmers in the order of their first places, as hexadecimal text. The likeness
+of two fingerprints matches anchors by position: of the smallest ``KEPT`` hashes
+of their union, the share that both have in the same order (the longest
+increasing run of matches). So it estimates the Jaccard similarity of the two
+syncmer sets, less what stands in another order.
 
 ``neighbour_edits`` compares each document with an edited text (its last third
 replaced by the start of the next document, in descending doc_id) and with
 the next document. Documents are ranged into buckets at approximate quantiles
-of doc_id, each bucket is sorted and streamed, and gets a copy of the first row
-of the bucket that follows, so one shuffle of the texts is enough and no task
-holds more than a batch and one row.
+of doc_id, as many as the table has ``BUCKET_BYTES`` of text; each bucket is a
+task of its own, sorted and streamed, and gets a copy of the first row of the
+bucket that follows, so one shuffle of the texts is enough and no task holds
+more than a batch and one row.
 
 Edge cases: null text is empty and has the empty fingerprint; a text without a
 syncmer has one hash, of the whole text; two empty fingerprints have likeness 1,
-an empty and another one 0; rows without doc_id come last in the order;
+an empty and another one 0; a hash that a text repeats counts once, at its first
+place, so a period repeated more often is alike; rows without doc_id come last in the order;
 rows with equal doc_id are ordered by text; a single document is its own next;
 other columns are ignored; an empty table gives an empty result.
 """
@@ -26,17 +30,22 @@ other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpulse.llm import kernels as K
 
 KMER, SMER = 16, 8
 KEPT = 64
-BUCKETS = 1024
+#: bytes of text a bucket has on average
+BUCKET_BYTES = 64 << 20
+#: bound of the quantile sketch, of the cuts and of the heads in driver and tasks, one number a bucket each; above 4 TB buckets grow instead
+BUCKETS = 1 << 16
 
 
 def syncmers(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,8 +71,14 @@ def syncmers(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return at, row, (K.run_hash(values, KMER, K.BASE)[at] >> np.uint64(32)).astype(np.uint32)
 
 
+def _smallest(h: np.ndarray) -> np.ndarray:
+    """The KEPT smallest distinct values of h, in the order of their first places."""
+    value, first = np.unique(h, return_index=True)
+    return value[:KEPT][np.argsort(first[:KEPT])]
+
+
 def sketches(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
-    """The KEPT smallest distinct hashes of each row, ascending."""
+    """The KEPT smallest distinct hashes of each row, in the order of their first places."""
     _, row, h = syncmers(data, off)
     first = np.searchsorted(row, np.arange(len(off)))
     whole = None
@@ -71,15 +86,15 @@ def sketches(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     for r in range(len(off) - 1):
         mine = h[first[r] : first[r + 1]]
         if len(mine) > 4 * KEPT:  # the smallest ones first, then distinct; all of them if repeats leave too few
-            some = np.unique(mine[mine <= np.partition(mine, 3 * KEPT)[3 * KEPT]])
-            mine = some if len(some) >= KEPT else np.unique(mine)
+            some = _smallest(mine[mine <= np.partition(mine, 3 * KEPT)[3 * KEPT]])
+            mine = some if len(some) == KEPT else _smallest(mine)
         elif len(mine):
-            mine = np.unique(mine)
+            mine = _smallest(mine)
         elif off[r + 1] > off[r]:
             if whole is None:
                 whole = K.span_hash(K.BYTE[data], off[:-1], off[1:], K.BASE) >> np.uint64(32)
-            mine = whole[r : r + 1].astype(np.uint32)
-        out.append(mine[:KEPT].astype(np.uint32))
+            mine = whole[r : r + 1]
+        out.append(mine.astype(np.uint32))
     return out
 
 
@@ -103,7 +118,22 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     size = min(KEPT, union)
     # rank of each repeated value among the distinct ones
     rank = np.cumsum(np.append(True, ~twice))[1:][twice]
-    return float((rank <= size).sum() / size)
+    shared = both[1:][twice][rank <= size]
+    order_a, order_b = np.argsort(a), np.argsort(b)
+    place_a = order_a[np.searchsorted(a, shared, sorter=order_a)]
+    place_b = order_b[np.searchsorted(b, shared, sorter=order_b)]
+    return _in_order(place_b[np.argsort(place_a)]) / size
+
+
+def _in_order(places: np.ndarray) -> int:
+    """Length of the longest increasing subsequence of distinct places."""
+    if (places[1:] > places[:-1]).all():
+        return len(places)
+    ends: list[int] = []  # smallest end of an increasing subsequence of each length
+    for p in places.tolist():
+        k = bisect_left(ends, p)
+        ends[k : k + 1] = [p]
+    return len(ends)
 
 
 def _laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -144,18 +174,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def _bucket(bounds: list[int]) -> Column:
-    """Number of bounds that are at most doc_id, by bisection; rows without doc_id are below all."""
-    if not bounds:
-        return F.lit(0)
-
-    def half(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col("doc_id") >= bounds[mid], half(mid + 1, hi)).otherwise(half(lo, mid))
-
-    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(half(0, len(bounds)))
+def _with_bucket(docs: DataFrame, bounds: list[int]) -> DataFrame:
+    """``bucket``: number of bounds that are at most doc_id, by bisection; rows without doc_id are below all."""
+    splits = sorted({float(x) for x in bounds})
+    if not splits:
+        return docs.withColumn("bucket", F.lit(0))
+    inf = float("inf")
+    known = docs.withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(-inf)))
+    return Bucketizer(splits=[-inf, *splits, inf], inputCol="place", outputCol="bucket").transform(known).withColumn("bucket", F.col("bucket").cast("int")).drop("place")
 
 
 def _compare(batches):
@@ -209,18 +235,18 @@ def neighbour_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     docs = _texts(docs)
-    n = min(BUCKETS, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    n = min(BUCKETS, buckets)
     cuts = docs.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).head()[0] if n > 1 else []
-    placed = docs.withColumn("bucket", _bucket(sorted(set(cuts or []))))
+    placed = _with_bucket(docs, cuts or [])
     heads = placed.groupBy("bucket").agg(F.max("doc_id").alias("head")).collect()  # one row per bucket
     heads = sorted(((r["bucket"], r["head"]) for r in heads), reverse=True)
-    after = {b: heads[(i + 1) % len(heads)][1] for i, (b, _) in enumerate(heads)}
-    ghost = None
-    for b, head in after.items():
-        same = F.col("doc_id").isNull() if head is None else F.col("doc_id") == head
-        ghost = F.when(same, F.lit(b)) if ghost is None else ghost.when(same, F.lit(b))
-    if ghost is None:
-        ghost = F.lit(None).cast("int")
+    after = [(heads[(i + 1) % len(heads)][1], b) for i, (b, _) in enumerate(heads)]
+    # one row a bucket, BUCKETS at most
+    ghosts = F.broadcast(spark.createDataFrame(after, "head long, ghost int"))
+    placed = placed.join(ghosts, placed["doc_id"].eqNullSafe(ghosts["head"]), "left").drop("head")
     # each row once, and the rows of a head once more for the bucket before
     both = placed.select(
         "doc_id",
@@ -229,13 +255,13 @@ def neighbour_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
             F.filter(
                 F.array(
                     F.struct(F.col("bucket").cast("int").alias("bucket"), F.lit(False).alias("ghost")),
-                    F.struct(ghost.cast("int").alias("bucket"), F.lit(True).alias("ghost")),
+                    F.struct(F.col("ghost").alias("bucket"), F.lit(True).alias("ghost")),
                 ),
                 lambda x: x["bucket"].isNotNull(),
             )
         ).alias("at"),
     ).select("doc_id", "text", "at.bucket", "at.ghost")
-    ordered = both.repartition(n, "bucket").sortWithinPartitions("bucket", "ghost", F.col("doc_id").desc_nulls_last(), "text")
+    ordered = both.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "ghost", F.col("doc_id").desc_nulls_last(), "text")
     return ordered.mapInArrow(
         _compare,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
