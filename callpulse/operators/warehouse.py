@@ -155,12 +155,11 @@ def call_base(
     if missed:
         b = b.withColumn("missed_status", _day_status(cfg))
     u = users.select("user_id", F.col("name").alias("expert_name"), F.col("email").alias("_email"), "role_id")
-    b = b.join(u, spread_nulls("users_email", "call_id") == u["_email"], "left").drop("_email")
     p = punctuality(scheduled_slots(appointments, users, cfg, by), realised_calls(tasks, opps, users, cfg, by), by)
     if by != "account":
-        p = p.withColumnRenamed("expert_name", "_expert")
-        b = b.join(p, spread_nulls("expert_name", "call_id") == p["_expert"], "left").drop("_expert")
-    else:
+        u = u.join(p, "expert_name", "left")  # the users get their punctuality, so that calls meet both in one join
+    b = b.join(u, spread_nulls("users_email", "call_id") == u["_email"], "left").drop("_email")
+    if by == "account":
         b = b.join(p, "account_id", "left")
     ab = absences.select("user_id", F.col("absent_on").alias("call_day"), F.lit(True).alias("_absent"))
     b = b.join(ab, ["user_id", "call_day"], "left")
