@@ -64,6 +64,7 @@ def split_flag(rows: DataFrame, cfg: Config) -> DataFrame:
 
     The hash has ``HASH_SLOTS`` values, so the running counts are over at most that many rows a class.
     """
+    rows = materialize(rows)  # read by the sides and by the flag
     h = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("opp_id").cast("string"), F.lit(str(cfg.seed)))), 1, 8), 16, 10)
     opps = rows.groupBy("opp_id").agg(F.max("is_good").alias("_good")).withColumn("_slot", h.cast("bigint") % HASH_SLOTS)
     slots = opps.groupBy("_good", "_slot").agg(F.count(F.lit(1)).alias("n"))
@@ -86,6 +87,7 @@ def correlated_features(rows: DataFrame, threshold: float = 0.85, features=MODEL
 
     from pyspark.ml.stat import Correlation
 
+    rows = materialize(rows.select(*features))  # the row matrix is read several times
     vec = VectorAssembler(inputCols=list(features), outputCol="_v").transform(rows).select("_v")
     m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
     out = [

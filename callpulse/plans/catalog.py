@@ -64,10 +64,16 @@ class Ctx:
             self.calls, self.opps, self.users, A.absences(t), A.appointments(t), A.tasks(t), self.cfg, by, missed
         )
 
+    @cached_property
+    def register(self):
+        """The call register of training, written once, for queries that read it more than once."""
+        return materialize(self.call_base("agent", missed=False))
+
     @cached_property
     def cells(self):
         """Day cells of the whole history, written once: training and scoring read the same ones."""
-        return materialize(CE.day_cells(self.call_base("agent", missed=False), self.cfg))
+        written = self.__dict__.get("register")
+        return materialize(CE.day_cells(self.call_base("agent", missed=False) if written is None else written, self.cfg))
 
     @cached_property
     def agents(self):
@@ -91,13 +97,18 @@ class Ctx:
     def labels_shifted(self):
         return LA.shift_labels(self.labels_train, self.cfg)
 
+    @cached_property
+    def labels(self):
+        """The shifted labels, written once: the call side, the CRM side and the call window read them."""
+        return materialize(self.labels_shifted)
+
     @cached_property
     def call_window(self):
-        return CA.call_window(self.call_base("agent"), self.labels_shifted, self.cfg, agents=self.agents)
+        return CA.call_window(self.call_base("agent"), self.labels, self.cfg, checkpoint=False, agents=self.agents)
 
     @cached_property
     def call_raw(self):
-        return CE.features_from_cells(self.cells, self.labels_shifted, self.cfg)
+        return CE.features_from_cells(self.cells, self.labels, self.cfg)
 
     @cached_property
     def call_features(self):
@@ -113,7 +124,8 @@ class Ctx:
 
     @cached_property
     def matrix(self):
-        return AS.features_joined(self.call_features, self.crm_features)
+        crm = CR.crm_clean(self.opps_train, self.labels, self.cfg, train=True)
+        return AS.features_joined(self.call_features, CR.crm_features(crm))
 
 
 def _raw_view(cols: tuple[str, ...]) -> Callable[[SparkSession, str], DataFrame]:
@@ -334,12 +346,14 @@ def q_label_is_good(spark, sf_dir):
 
 def q_class_weights(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return ML.class_weights(ML.split_flag(ML.training_rows(c.matrix, c.cfg), c.cfg).where("not is_test"))
+    rows = ML.training_rows(c.matrix, c.cfg).select("opp_id", "is_good")
+    return ML.class_weights(ML.split_flag(rows, c.cfg).where("not is_test"))
 
 
 def q_stratified_split(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return ML.split_flag(ML.training_rows(c.matrix, c.cfg), c.cfg).select(*KEY, "is_good", "is_test")
+    rows = ML.training_rows(c.matrix, c.cfg).select(*KEY, "is_good")
+    return ML.split_flag(rows, c.cfg).select(*KEY, "is_good", "is_test")
 
 
 def q_correlated_features(spark, sf_dir):
@@ -435,7 +449,8 @@ def q_call_window_score(spark, sf_dir):
 def q_per_call(spark, sf_dir):
     """One row per call of a KEY: the call's own punctuality beside the features of its KEY."""
     c = Ctx(spark, sf_dir)
-    return AS.per_call(c.call_window, c.call_raw)
+    window = CA.call_window(c.register, c.labels, c.cfg, checkpoint=False)  # the cells read the written register too
+    return AS.per_call(window, c.call_raw)
 
 
 def q_scoring_matrix(spark, sf_dir):
