@@ -49,14 +49,20 @@ def period(ts, days: int):
     return F.floor(us / F.lit(days * 86_400_000_000)).cast("int")
 
 
+def touched_periods(labels: DataFrame, cfg: Config) -> DataFrame:
+    """Labels once per period (``_per``) that their window touches: one or two."""
+    span = cfg.window_days
+    ends = F.array_distinct(F.array(period(add_days("ref_date", -span), span), period(F.col("ref_date"), span)))
+    return labels.withColumn("_per", F.explode(ends))
+
+
 def join_windows(rows: DataFrame, labels: DataFrame, at: str, cfg: Config) -> DataFrame:
     """Rows x labels of the same account with ``ref_date - window < at < ref_date``.
 
     Each pair meets in one period only, that of the row.
     """
     span = cfg.window_days
-    ends = F.array_distinct(F.array(period(add_days("ref_date", -span), span), period(F.col("ref_date"), span)))
-    lab = labels.withColumnRenamed("account_id", "_acc").withColumn("_per", F.explode(ends))
+    lab = touched_periods(labels, cfg).withColumnRenamed("account_id", "_acc")
     r = rows.withColumn("_row_per", period(F.col(at), span))
     cond = (
         (r["account_id"] == lab["_acc"])

@@ -9,9 +9,9 @@ Plan:
    first expert call of each agent is merged from the kept state (``agent_state``, ``merge_agents``).
 2. ``slots`` - cells summed over agents, with what a slot knows about its day (missed
    status, real calls of the whole day) and about the past (the outbound call before it): ordered states, label-free too.
-3. ``features_from_cells`` - slots x labels and named agents' cells x labels, joined on
-   account and period (``calls.join_windows``), each aggregated to KEY once. Labels of one account and
-   date are one row with a multiplicity, by which counts and sums are multiplied.
+3. ``features_from_cells`` - slots x labels and named agents' cells x labels, each aggregated to KEY once. All of it
+   stays partitioned by opportunity: the account's dates come to its opportunities as short lists, one a period. Labels
+   of one account and date are one row with a multiplicity, by which counts and sums are multiplied.
 
 Reference dates are midnights, as the label builders make them.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from callpulse.config import KEY, Config
 from callpulse.functions.exprs import cap, nullif_zero
 from callpulse.functions.text import fold_text
-from callpulse.functions.timefns import add_days, floor_days
-from callpulse.operators.calls import _is_in, _is_out, _last, agent_counts, call_order, flat_columns, join_windows, label_span, missed_counts
+from callpulse.functions.timefns import floor_days
+from callpulse.operators.calls import _is_in, _is_out, _last, agent_counts, call_order, flat_columns, label_span, missed_counts, period, touched_periods
 from callpulse.operators.warehouse import ABSENT, PUNCTUALITY_COLUMNS, missed_call
 from callpulse.session import materialize
 
@@ -154,6 +154,8 @@ def slots(cells: DataFrame, cfg: Config) -> DataFrame:
     """
     s = cells.repartition(*OPP)  # all that follows is by opportunity
     s = s.groupBy(*OPP, "slot").agg(*_rolled(s.drop("first_expert", "min_start")))
+    # slots follow each other in time: their picks are ordered by the slot, which is cheaper to compare than call orders
+    s = s.withColumns({o: F.when(F.col(o).isNotNull(), F.col("slot")) for o in PICKS})
     day = Window.partitionBy(*OPP, F.to_date("slot"))
     past = Window.partitionBy(*OPP).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     missed, short = F.sum("n_missed").over(day) > 0, F.sum("n_short").over(day)
@@ -180,16 +182,55 @@ def account_dates(labels: DataFrame, distinct: bool = False) -> DataFrame:
     return labels.groupBy("account_id", "ref_date").agg(times.alias("times"), F.max("mandate_date").alias("mandate_date"))
 
 
-def _flat(slot_rows: DataFrame, dates: DataFrame, cfg: Config) -> DataFrame:
-    j = join_windows(slot_rows, dates, "slot", cfg)
+def _opp_dates(near: DataFrame, dates: DataFrame, cfg: Config) -> DataFrame:
+    """account_id, opp_id, _per, _dates: the account's dates that rows of the opportunity in that period can meet.
+
+    Dates are distinct midnights, so a list has at most two windows of days. Lists come to the opportunities, which stay
+    where they are: their rows, wide or many, are not shuffled to the labels, and neither are the features of their KEYs.
+    """
+    lists = touched_periods(dates, cfg).groupBy("account_id", "_per").agg(
+        F.collect_list(F.struct("ref_date", "times", "mandate_date")).alias("_dates")
+    )
+    own = near.select(*OPP, period(F.col("slot"), cfg.window_days).alias("_per")).distinct()
+    return own.join(lists, ["account_id", "_per"]).repartition(*OPP)
+
+
+def _day(ts):
+    """Day number of a time; pairs are compared by these, which costs less than times moved by days."""
+    return F.unix_date(F.to_date(ts))
+
+
+def _past(ts):
+    """Number of the first midnight that is not before the time: a time is after midnight n if this is above n."""
+    return _day(ts) + F.when(ts == F.to_date(ts).cast("timestamp_ntz"), F.lit(0)).otherwise(F.lit(1))
+
+
+def _meet(rows: DataFrame, opp_dates: DataFrame, cfg: Config) -> DataFrame:
+    """Rows of opportunities (kept by opportunity) x the dates of their account with ``ref_date - window < slot < ref_date``.
+
+    ``_day``, ``_past`` and ``_ref``: day numbers of slot and date, dates being midnights.
+    """
+    at, span = F.col("slot"), cfg.window_days
+    d = opp_dates.withColumnsRenamed({"account_id": "_acc", "opp_id": "_opp"})
+    rows = rows.withColumns({"_day": _day(at), "_past": _past(at)})
+    r = rows.withColumn("_row_per", period(at, span))
+    # the period is no key of the join: by the opportunity alone, the rows need no other shuffle
+    same_period = (r["_row_per"] <= d["_per"]) & (r["_row_per"] >= d["_per"])
+    j = r.join(d, (r["account_id"] == d["_acc"]) & (r["opp_id"] == d["_opp"]) & same_period)
+    j = j.withColumn("_date", F.explode("_dates")).select(*rows.columns, "_date.*", _day(F.col("_date.ref_date")).alias("_ref"))
+    return j.where((F.col("_day") < F.col("_ref")) & (F.col("_past") > F.col("_ref") - span))
+
+
+def _flat(slot_rows: DataFrame, opp_dates: DataFrame, cfg: Config) -> DataFrame:
+    j = _meet(slot_rows.withColumn("_out_past", _past(F.col("prev_out"))), opp_dates, cfg)
     k = F.col("times")
 
     def multi_call_days(since):
         # the window's first day counts without its midnight
-        real = F.when(F.to_date("slot") > F.to_date(since), F.col("real_day")).otherwise(F.col("n_real"))
-        return F.count_if(F.col("ends_day") & (F.col("slot") > since) & (real * k > 1))
+        real = F.when(F.col("_day") > since, F.col("real_day")).otherwise(F.col("n_real"))
+        return F.count_if(F.col("ends_day") & (F.col("_past") > since) & (real * k > 1))
 
-    lo, (lo7, lo14) = add_days("ref_date", -cfg.window_days), (add_days("ref_date", -w) for w in cfg.recent_windows)
+    lo, (lo7, lo14) = F.col("_ref") - cfg.window_days, (F.col("_ref") - w for w in cfg.recent_windows)
     g = j.groupBy(*KEY).agg(
         *_rolled(j, k),
         *[F.sum(F.col(c) * k).alias(c) for c in ("n_missed_rows", "n_no_callback", "n_same_day")],
@@ -197,7 +238,7 @@ def _flat(slot_rows: DataFrame, dates: DataFrame, cfg: Config) -> DataFrame:
         multi_call_days(lo).alias("mc_global"),
         multi_call_days(lo7).alias("mc_7"),
         multi_call_days(lo14).alias("mc_14"),
-        F.count_if(F.col("gap") & (F.col("prev_out") > lo)).alias("gaps"),
+        F.count_if(F.col("gap") & (F.col("_out_past") > lo)).alias("gaps"),
     )
     names = {"n_in": "in_global", "n_out": "out_global", "n_unanswered_in": "unanswered_in", "n_unanswered_out": "unanswered_out"}
     names |= {f"n_{c}": f"n_calls_{c}" for c in CATEGORIES} | {"first_real": "first_call", "last_real": "last_call"}
@@ -207,12 +248,14 @@ def _flat(slot_rows: DataFrame, dates: DataFrame, cfg: Config) -> DataFrame:
     return flat_columns(g, {**days, "n_gaps_14d": nullif_zero("gaps")})
 
 
-def _agents(cells: DataFrame, dates: DataFrame, agents: DataFrame, cfg: Config) -> DataFrame:
-    """Experience and distinct folded names per KEY, of calls with an agent name."""
+def _agents(cells: DataFrame, opp_dates: DataFrame, agents: DataFrame, cfg: Config) -> DataFrame:
+    """Experience and distinct folded names per KEY, of calls with an agent name: per opportunity a map from its dates."""
     named = cells.where(F.col("agent").isNotNull()).select(*OPP, "slot", "agent", "n_real_kept", "min_start")
-    j = join_windows(named, dates, "slot", cfg).repartition(*KEY)  # all that follows is by KEY
-    a = j.groupBy(*KEY, "agent").agg(F.sum(F.col("n_real_kept") * F.col("times")).alias("n"), F.min("min_start").alias("s"))
-    a = a.join(agents, "agent", "left")
+    named = named.join(agents, "agent", "left").repartition(*OPP)  # all that follows is by opportunity
+    j = _meet(named, opp_dates, cfg)
+    a = j.groupBy(*KEY, "agent", "agent_norm").agg(
+        F.sum(F.col("n_real_kept") * F.col("times")).alias("n"), F.min("min_start").alias("s"), F.min("first_expert_call").alias("first_expert_call")
+    )
     days = floor_days("s", "first_expert_call")
     name = Window.partitionBy(*KEY, "agent_norm")
     a = a.select(
@@ -221,11 +264,19 @@ def _agents(cells: DataFrame, dates: DataFrame, agents: DataFrame, cfg: Config)
         F.sum("n").over(name).alias("n"),
         (F.row_number().over(name.orderBy("agent")) == 1).alias("once"),
     )
-    return a.groupBy(*KEY).agg(
+    a = a.groupBy(*KEY).agg(
         F.median("exp").alias("agent_experience_days"),
         F.count_if(F.col("once") & (F.col("n") > 2)).alias("n_experts_raw"),
         F.count_if(F.col("once") & (F.col("n") > 0)).alias("n_interlocutors_raw"),
     )
+    entry = F.struct("ref_date", F.struct("agent_experience_days", "n_experts_raw", "n_interlocutors_raw"))
+    return a.groupBy(*OPP).agg(F.map_from_entries(F.collect_list(entry)).alias("_agents"))
+
+
+def _with_agents(flat: DataFrame, agents: DataFrame) -> DataFrame:
+    """The KEYs that have named agents, with their features; a join by opportunity, so neither side is shuffled for it."""
+    out = flat.join(agents, list(OPP)).withColumn("_a", F.col("_agents")[F.col("ref_date")]).where(F.col("_a").isNotNull())
+    return out.select(*flat.columns, "_a.*")
 
 
 def features_from_cells(
@@ -245,6 +296,6 @@ def features_from_cells(
     span = label_span(dates, cfg)
     # the midnight of the first day too: it is in no window, but it belongs to its day
     near = cells.where((F.col("slot") >= span.getField("lo")) & (F.col("slot") < span.getField("hi")))
-    out = missed_counts(_flat(slots(near, cfg), dates, cfg)).join(_agents(near, dates, agents, cfg), list(KEY), "inner")
-    out = agent_counts(out)
+    by_opp = _opp_dates(near, dates, cfg)
+    out = agent_counts(_with_agents(missed_counts(_flat(slots(near, cfg), by_opp, cfg)), _agents(near, by_opp, agents, cfg)))
     return materialize(out) if checkpoint else out

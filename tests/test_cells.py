@@ -189,3 +189,50 @@ def test_folding_matches_unicodedata(spark):
     for r in df.collect():
         t = texts[r.i]
         assert r.f == (None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower()), r.i
+
+
+def test_features_stay_by_opportunity(spark):
+    """Neither slots nor features are shuffled to the labels or by reference date, also where nothing is broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        cells = CE.day_cells(spark.createDataFrame(_calls(200), REGISTER), CFG)
+        out = CE.features_from_cells(cells, spark.createDataFrame(_labels(), LABELS), CFG, checkpoint=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if old is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # only the dates of an account are grouped by date
+    assert sum("opp_id" in s and "ref_date" in s for s in shuffles) == 0, shuffles
+    assert not any("slot" in s and "agent" not in s for s in shuffles), shuffles
+
+
+def test_written_register_is_read_by_cells_and_window(spark, tmp_path):
+    """A query that reads the register twice derives it once."""
+    from callpulse.plans.catalog import Ctx
+
+    c = Ctx(spark, str(tmp_path))
+    c.register = spark.createDataFrame(_calls(200), REGISTER)  # no table is there to derive it from
+    assert c.cells.count() == CE.day_cells(c.register, CFG).count() > 0
+
+
+def test_calls_meet_users_and_punctuality_in_one_join(spark):
+    """The punctuality of an expert comes with the user, so calls are not shuffled by expert name."""
+    T = "timestamp_ntz"
+    frames = [
+        spark.createDataFrame([(1, 5, D(2024, 1, 2), "in", 9.0, "A", "a@x", "M"), (2, 5, D(2024, 1, 2), "in", 9.0, "B", None, "M")], f"call_id long, project_id long, start_time {T}, direction string, duration_s double, agent string, users_email string, manager_name string"),
+        spark.createDataFrame([(5, 5, 1, CFG.main_record_type)], "project_id long, opp_id long, account_id long, record_type_id string"),
+        spark.createDataFrame([(7, "A", "a@x", "M", "EXPERT"), (8, None, "b@x", "M", "EXPERT")], "user_id long, name string, email string, manager_name string, role_id string"),
+        spark.createDataFrame([(7, dt.date(2024, 1, 2))], "user_id long, absent_on date"),
+        spark.createDataFrame([(1, 1, 7, D(2024, 1, 2, 9), "Confirmed", "Call", False, "Rendez-vous téléphonique")], f"event_id long, account_id long, owner_id long, start_at {T}, status string, type string, is_deleted boolean, subject string"),
+        spark.createDataFrame([], f"task_id long, opp_id long, owner_id long, created_at {T}, subject string"),
+    ]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = WH.call_base(*frames, CFG)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if old is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert {r.call_id: (r.expert_name, r.no_show, r.absence_flag) for r in out.collect()} == {1: ("A", 1, "absent"), 2: (None, None, "work")}
+    assert sum("Join LeftOuter" in line and "call_id" in line for line in plan.splitlines()) == 1, plan
