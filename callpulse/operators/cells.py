@@ -26,6 +26,7 @@ from callpulse.functions.exprs import cap, nullif_zero
 from callpulse.functions.text import fold_text
 from callpulse.functions.timefns import floor_days
 from callpulse.operators.calls import _is_in, _is_out, _last, agent_counts, call_order, flat_columns, label_span, missed_counts, period, touched_periods
+from callpulse.operators.labels import of_accounts
 from callpulse.operators.warehouse import ABSENT, PUNCTUALITY_COLUMNS, missed_call
 from callpulse.session import materialize
 
@@ -182,6 +183,12 @@ def account_dates(labels: DataFrame, distinct: bool = False) -> DataFrame:
     return labels.groupBy("account_id", "ref_date").agg(times.alias("times"), F.max("mandate_date").alias("mandate_date"))
 
 
+def accounts_of(cells: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """account_id of the cells, each once; written, so that joins see its size before they shuffle the other side."""
+    accounts = cells.select("account_id").distinct()
+    return materialize(accounts) if checkpoint else accounts
+
+
 def _opp_dates(near: DataFrame, dates: DataFrame, cfg: Config) -> DataFrame:
     """account_id, opp_id, _per, _dates: the account's dates that rows of the opportunity in that period can meet.
 
@@ -290,7 +297,8 @@ def features_from_cells(
     """
     agents = agent_state(cells) if agents is None else agents
     agents = agents.select("agent", "first_expert_call", fold_text(F.col("agent")).alias("agent_norm"))
-    dates = account_dates(labels, distinct_ref_dates)
+    # dates of accounts without calls meet nothing: they go before lists are made of them
+    dates = of_accounts(account_dates(labels, distinct_ref_dates), accounts_of(cells, checkpoint))
     if checkpoint:
         dates = materialize(dates)  # read by the bounds and by both joins
     span = label_span(dates, cfg)

@@ -62,6 +62,11 @@ def shift_labels(labels: DataFrame, cfg: Config) -> DataFrame:
     return x.withColumn("ref_date", add_days("ref_date", -F.col("_shift"))).drop("_shift")
 
 
+def of_accounts(labels: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Labels (or dates) of the accounts given."""
+    return labels.join(accounts.select("account_id"), "account_id", "left_semi").select(*labels.columns)
+
+
 def labels_score(mandates_open: DataFrame, cfg: Config, as_of: dt.date | None = None) -> DataFrame:
     """Scoring labels: reference date = run date, rating unknown."""
     ref = F.lit(as_of or cfg.as_of).cast("timestamp_ntz")

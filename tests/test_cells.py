@@ -236,3 +236,17 @@ def test_calls_meet_users_and_punctuality_in_one_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if old is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert {r.call_id: (r.expert_name, r.no_show, r.absence_flag) for r in out.collect()} == {1: ("A", 1, "absent"), 2: (None, None, "work")}
     assert sum("Join LeftOuter" in line and "call_id" in line for line in plan.splitlines()) == 1, plan
+
+
+def test_accounts_without_calls_leave_before_their_dates_are_listed(spark, register, labels, monkeypatch):
+    """Labels of accounts that never called change no feature and reach neither the lists nor the bounds of the windows."""
+    idle = [(9000 + i, 900 + i % 50, D(2020, 1, 1) + dt.timedelta(days=i), 3.0, D(2019, 12, 1), -5) for i in range(200)]
+    idle += [(9999, None, D(2024, 1, 8), 3.0, D(2019, 12, 1), -5)]
+    more = labels.unionByName(spark.createDataFrame(idle, LABELS))
+    cells, listed = CE.day_cells(register, CFG), []
+    keep = CE._opp_dates
+    monkeypatch.setattr(CE, "_opp_dates", lambda near, dates, cfg: listed.append(dates) or keep(near, dates, cfg))
+    _same(CE.features_from_cells(cells, more, CFG), CE.features_from_cells(cells, labels, CFG))
+    _same(CE.features_from_cells(cells, more, CFG, distinct_ref_dates=True), CE.features_from_cells(cells, labels, CFG, distinct_ref_dates=True))
+    for with_idle, plain in (listed[:2], listed[2:]):
+        assert sorted(with_idle.collect()) == sorted(plain.collect())
