@@ -6,7 +6,8 @@ grown here over distributed histograms:
 * every feature is cut into at most ``max_bins`` bins (all distinct values where
   there are no more, else approximate quantiles) and each row is written once as its bin numbers;
 * a round is one pass over those rows for all trees together: a task sends each row
-  down every tree and counts, for the nodes that wait, (feature, bin) by class.
+  down every tree and counts, for the nodes that wait, (feature, bin) by class. Nodes that the same splits lead to are
+  counted once for all their trees, and the rows are dealt out to all cores.
   The counts are added up and the best split of each node is found in Spark; one row
   a node reaches the driver;
 * the driver keeps, per tree, the leaves ordered by the gain of their best split and splits
@@ -123,39 +124,59 @@ def _binned(features, edges: list[list[float]]):
 _CELLS = "tree int, node int, place int, feature int, bin int, n0 long, n1 long"
 
 
+def _path(tree: "Tree", node: int) -> tuple[tuple[int, int, bool], ...]:
+    """(feature, bin, whether left) of the splits from the root to the node."""
+    above = {}
+    for parent, feature, bin_, left, right in tree.splits:
+        above[left], above[right] = (parent, feature, bin_, True), (parent, feature, bin_, False)
+    steps = []
+    while node in above:
+        node, *step = above[node]
+        steps.append(tuple(step))
+    return tuple(reversed(steps))
+
+
 def _histograms(n_features: int, n_bins: int, wanted: list[tuple]):
-    """wanted: (tree, splits, [(node, [(place, feature), ..]), ..])."""
+    """wanted: (tree, node, path, [(place, feature), ..]); trees that share a path share its rows and counts."""
+    # paths as nested steps, so that rows are narrowed down once for all paths that begin alike
+    root: dict = {"next": {}, "features": set(), "path": ()}
+    for _, _, path, drawn in wanted:
+        at = root
+        for depth, step in enumerate(path):
+            at = at["next"].setdefault(step, {"next": {}, "features": set(), "path": path[: depth + 1]})
+        at["features"].update(f for _, f in drawn)
 
     def run(batches):
-        sums: dict[tuple[int, int], np.ndarray] = {}
+        sums: dict[tuple[tuple, int], np.ndarray] = {}
         for b in batches:
             n = b.num_rows
             if not n:
                 continue
-            x = np.frombuffer(b"".join(b.column("x").to_pylist()), np.uint8).reshape(n, n_features)
+            x = np.ascontiguousarray(np.frombuffer(b"".join(b.column("x").to_pylist()), np.uint8).reshape(n, n_features).T)
             y = b.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
             m = b.column("m").to_numpy(zero_copy_only=False)
-            for tree, splits, nodes in wanted:
-                at = np.zeros(n, np.int16)
-                for p, f, k, left, right in splits:
-                    here = np.flatnonzero(at == p)
-                    at[here] = np.where(x[here, f] <= k, left, right)
-                for node, drawn in nodes:
-                    here = np.flatnonzero(at == node)
-                    if not len(here):
-                        continue
-                    own = sums.get((tree, node))
-                    if own is None:
-                        own = sums[tree, node] = np.zeros((len(drawn), 2 * n_bins), np.int64)
-                    part, cls, times = x[here], y[here], m[here]
-                    for j, (_, f) in enumerate(drawn):
-                        own[j] += np.bincount(part[:, f] * np.int64(2) + cls, weights=times, minlength=2 * n_bins).astype(np.int64)
-        drawn_of = {(tree, node): drawn for tree, _, nodes in wanted for node, drawn in nodes}
-        for (tree, node), own in sums.items():
-            cells = own.reshape(len(own), n_bins, 2)
+
+            def count(at, here):
+                if not len(here):
+                    return
+                cls, times = y[here], m[here]
+                for f in at["features"]:
+                    own = np.bincount(x[f, here] * np.int64(2) + cls, weights=times, minlength=2 * n_bins).astype(np.int64)
+                    key = (at["path"], f)
+                    sums[key] = sums[key] + own if key in sums else own
+                for (f, k, left), below in at["next"].items():
+                    goes_left = x[f, here] <= k
+                    count(below, here[goes_left if left else ~goes_left])
+
+            count(root, np.arange(n))
+        for tree, node, path, drawn in wanted:
+            seen = [(place, f) for place, f in drawn if (path, f) in sums]
+            if not seen:
+                continue
+            cells = np.stack([sums[path, f] for _, f in seen]).reshape(len(seen), n_bins, 2)
             j, k = np.nonzero(cells.any(axis=2))
-            drawn = np.array(drawn_of[tree, node])
-            cols = [np.full(len(j), tree), np.full(len(j), node), drawn[j, 0], drawn[j, 1], k]
+            places = np.array(seen)
+            cols = [np.full(len(j), tree), np.full(len(j), node), places[j, 0], places[j, 1], k]
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int32()) for c in cols), pa.array(cells[j, k, 0]), pa.array(cells[j, k, 1])],
                 [c.split()[0] for c in _CELLS.split(", ")],
@@ -230,7 +251,9 @@ def fit_forest(
         F.col(label).cast("int").alias("__y"),
         (F.col(weight) if weight else F.lit(1)).cast("long").alias("__m"),
     )
-    data = materialize(plain.mapInArrow(_binned(features, edges), "x binary, y int, m long"))
+    binned = plain.mapInArrow(_binned(features, edges), "x binary, y int, m long")
+    # few bytes a row, much work a row and round: rows are dealt out to all cores, however few files they came from
+    data = materialize(binned.repartition(rows.sparkSession.sparkContext.defaultParallelism))
     count = {r["y"]: r["n"] for r in data.groupBy("y").agg(F.sum("m").alias("n")).collect()}
     n0, n1 = count.get(0, 0), count.get(1, 0)
     if class_weights is None:
@@ -243,21 +266,18 @@ def fit_forest(
     while True:
         wanted = []
         for t, tree in enumerate(trees):
-            nodes = []
             for node, again in tree.waiting.items():
                 order = feature_order(params.seed, t, node, n_features).tolist()
                 drawn = [(k + 1, f) for k, f in enumerate(order[draws:])] if again else [(0, f) for f in order[:draws]]
-                nodes.append((node, drawn))
-            if nodes:
-                wanted.append((t, list(tree.splits), nodes))
+                wanted.append((t, node, _path(tree, node), drawn))
         if not wanted:
             return ForestModel.of(trees, features, edges, class_weights)
         cells = data.mapInArrow(_histograms(n_features, n_bins, wanted), _CELLS)
         found = {(r["tree"], r["node"]): r["best"] for r in best_splits(cells, class_weights, params.min_samples_leaf).collect()}
-        for t, _, nodes in wanted:
+        for t in sorted({t for t, *_ in wanted}):
             tree = trees[t]
             waiting, tree.waiting = tree.waiting, {}
-            for node, _ in nodes:
+            for node in waiting:
                 best = found[t, node]
                 if best is not None:
                     heapq.heappush(tree.frontier, (-best["gain"], node, best["feature"], best["bin"], best["l0"], best["l1"]))

@@ -113,7 +113,9 @@ def forest_params(cfg: Config) -> ForestParams:
 
 def train(matrix: DataFrame, cfg: Config) -> tuple[ForestModel, DataFrame]:
     """Fit on the train side; metrics frame with AUC on hard predictions (as reported) and on probabilities."""
-    rows = materialize(split_flag(training_rows(matrix, cfg), cfg))  # read by the weights, the fit and the scoring
+    rows = split_flag(training_rows(matrix, cfg), cfg)
+    # read by the weights, the fit and the scoring; few rows, each sent down all trees, so dealt out to all cores
+    rows = materialize(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism))
     fitted = rows.where(~F.col("is_test"))
     weights = {r["is_good"]: r["weight"] for r in class_weights(fitted).collect()}  # a row a class
     model = fit_forest(fitted, MODEL_FEATURES, "is_good", forest_params(cfg), (weights.get(False, 0.0), weights.get(True, 0.0)))
@@ -147,6 +149,7 @@ def scoring_matrix(ctx, cfg: Config) -> DataFrame:
     from callpulse.operators import warehouse as WH
 
     lab = LA.labels_score(WH.mandates_open(ctx.opps, cfg), cfg)
+    lab = materialize(LA.of_accounts(lab, CE.accounts_of(ctx.cells)))  # read by both sides; accounts without calls have no features
     calls = AS.call_features_all(CE.features_from_cells(ctx.cells, lab, cfg), cfg)
     crm = CR.crm_features(CR.crm_clean(ctx.opps_train, lab, cfg, train=True))
     return AS.impute_trace(AS.features_joined(calls, crm), cfg)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from callpulse.operators import forest
 from callpulse.operators.forest import ForestModel, ForestParams, feature_order, fit_forest
 from callpulse.operators.ranking import exact_auc
 
@@ -115,6 +117,28 @@ def test_limits_hold_and_partitions_do_not_matter(spark, parts):
                 assert n[7] + n[8] >= p.min_samples_split
 
 
+def test_rows_are_dealt_to_all_cores_and_shared_paths_counted_once(spark, monkeypatch):
+    """One input file must not mean one task a round; trees that agree on their splits must not count the same rows again."""
+    written, counts = [], []
+    keep = forest.materialize
+    monkeypatch.setattr(forest, "materialize", lambda df: written.append(keep(df)) or written[-1])
+    p = ForestParams(num_trees=30, max_leaf_nodes=4, min_samples_leaf=10, min_samples_split=30, features_per_split=5)
+    model = fit_forest(_frame(spark, _rows(4000), 1), FEATURES, "good", p)
+    (data,) = written
+    assert data.select(F.spark_partition_id().alias("p")).distinct().count() == spark.sparkContext.defaultParallelism
+    # all features are drawn everywhere, so all trees are the same: one count a node and feature, whatever the number of trees
+    assert len({tuple(n[1:]) for n in model.nodes}) == len(model.nodes) // p.num_trees
+    bincount = forest.np.bincount
+    monkeypatch.setattr(forest.np, "bincount", lambda *a, **k: counts.append(1) or bincount(*a, **k))
+    batch = pa.RecordBatch.from_pydict({"x": [bytes([i % 7, i % 3]) for i in range(50)], "y": pa.array([i % 2 for i in range(50)], pa.int32()), "m": [1] * 50})
+    wanted = [(t, 1, ((0, 2, True),), [(0, 0), (0, 1)]) for t in range(30)]
+    out = pa.Table.from_batches(forest._histograms(2, 7, wanted)([batch]))
+    assert len(counts) == 2 and out.num_rows == 30 * (3 + 3)
+    below = [i for i in range(50) if i % 7 <= 2]
+    assert sum(out.column("n0").to_pylist()) == 30 * 2 * sum(i % 2 == 0 for i in below)
+    assert sum(out.column("n1").to_pylist()) == 30 * 2 * sum(i % 2 for i in below)
+
+
 def test_forest_scores_and_round_trip(spark, tmp_path):
     p = ForestParams(num_trees=20, max_leaf_nodes=8, min_samples_leaf=10, min_samples_split=25)
     rows = _rows(500, 5)
