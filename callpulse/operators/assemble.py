@@ -127,7 +127,11 @@ def features_joined(call_features: DataFrame, crm: DataFrame, checkpoint: bool =
     c = crm.select(*KEY, "rating", "mandate_delta_days", *CRM_FEATURE_COLUMNS)
     if checkpoint:
         c = materialize(c)
-    return call_features.join(c, list(KEY), "left")
+    c = c.withColumnsRenamed({k: f"_{k}" for k in KEY})
+    # the date is no key of the join: what groups by opportunity afterwards needs no other shuffle
+    same_date = (call_features["ref_date"] <= c["_ref_date"]) & (call_features["ref_date"] >= c["_ref_date"])
+    same_opp = (call_features["account_id"] == c["_account_id"]) & (call_features["opp_id"] == c["_opp_id"])
+    return call_features.join(c, same_opp & same_date, "left").drop(*[f"_{k}" for k in KEY])
 
 
 PER_CALL_FEATURES = ("n_rows", "n_calls_global", "avg_duration", "days_since_last", "n_experts", "agent_experience_days")

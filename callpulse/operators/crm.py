@@ -19,7 +19,10 @@ def _null_if(col: str, cond) -> F.Column:
 def crm_clean(opps: DataFrame, labels: DataFrame, cfg: Config, train: bool = True) -> DataFrame:
     """Opportunities matched to labels, masked at the reference date and made consistent."""
     lab = labels.select("opp_id", "account_id", "ref_date", "rating", "mandate_date", "mandate_delta_days")
-    x = opps.join(lab, ["opp_id", "account_id"])
+    lab = lab.withColumnsRenamed({"opp_id": "_opp", "account_id": "_acc"})
+    # the account is no key of the join: by the opportunity alone, opportunities joined to their stages need no other shuffle
+    same_account = (opps["account_id"] <= lab["_acc"]) & (opps["account_id"] >= lab["_acc"])
+    x = opps.join(lab, (opps["opp_id"] == lab["_opp"]) & same_account).drop("_opp", "_acc")
     ref = F.col("ref_date")
     # point in time: nothing after the reference date is known
     x = x.withColumns({c: _null_if(c, F.col(c) > ref) for c in CRM_DATE_COLUMNS})

@@ -185,7 +185,8 @@ def call_base(
 
 def _signed(opps: DataFrame, stages: DataFrame, users: DataFrame, cfg: Config) -> DataFrame:
     u = users.select(F.col("user_id").alias("owner_id"), F.col("name").alias("owner_name"))
-    o = opps.join(stages, "opp_id", "left").join(u, "owner_id", "left")
+    # stages last: what joins by opportunity afterwards finds the rows where they are
+    o = opps.join(u, "owner_id", "left").join(stages, "opp_id", "left")
     comp = F.col("compromise_at")
     bad = (F.to_date(comp) > F.lit(cfg.as_of)) | (comp < F.lit(cfg.compromise_min_date).cast("timestamp_ntz"))
     o = o.where(F.col("mandate_signed_at").isNotNull() & (F.col("record_type_id") == cfg.main_record_type))

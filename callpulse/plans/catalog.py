@@ -124,7 +124,9 @@ class Ctx:
 
     @cached_property
     def matrix(self):
-        crm = CR.crm_clean(self.opps_train, self.labels, self.cfg, train=True)
+        # the call side keeps its KEYs in the join, so the CRM side is derived for its accounts only
+        labels = materialize(LA.of_accounts(self.labels, CE.accounts_of(self.call_raw)))
+        crm = CR.crm_clean(self.opps_train, labels, self.cfg, train=True)
         return AS.features_joined(self.call_features, CR.crm_features(crm))
 
 
