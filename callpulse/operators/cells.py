@@ -2,8 +2,8 @@
 
 Plan:
 
-1. ``day_cells`` - ONE map-side-combined aggregation of the call register per
-   (account, opportunity, slot, agent). A slot is a day, its exact midnight apart: windows start and end
+1. ``day_cells`` - ONE aggregation of the call register per (account, opportunity, slot, agent), whose calls are
+   shuffled as they are: a call is little more than half as wide as the sums it begins, and few calls share a cell. A slot is a day, its exact midnight apart: windows start and end
    at midnights, both ends excluded, so a slot is in a window as a whole or not at all. Cells add up and
    are kept: the next day's calls only add their own cells (``write_cells``, ``read_cells``), and the
    first expert call of each agent is merged from the kept state (``agent_state``, ``merge_agents``).
@@ -93,8 +93,9 @@ def day_cells(register: DataFrame, cfg: Config) -> DataFrame:
         F.max(F.when(real & _is_out(), start)).alias("last_real_out"),
         F.max("start_time").alias("max_start"),
     ]
-    c = register.where(start.isNotNull()).withColumn("_d", cap("duration_s", cfg.duration_cap_s))
-    return c.groupBy(*OPP, slot_of(start).alias("slot"), "agent").agg(*aggs)
+    c = register.where(start.isNotNull()).withColumn("slot", slot_of(start))
+    c = c.repartition(*OPP, "slot", "agent")  # calls, not their wider partial sums, go to the cell
+    return c.withColumn("_d", cap("duration_s", cfg.duration_cap_s)).groupBy(*OPP, "slot", "agent").agg(*aggs)
 
 
 # -- kept cells and agents ----------------------------------------------------------

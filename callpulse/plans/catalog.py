@@ -108,7 +108,8 @@ class Ctx:
 
     @cached_property
     def call_raw(self):
-        return CE.features_from_cells(self.cells, self.labels, self.cfg)
+        # the call side reads the labels once: they are written only where another side reads them too
+        return CE.features_from_cells(self.cells, self.__dict__.get("labels", self.labels_shifted), self.cfg)
 
     @cached_property
     def call_features(self):

@@ -74,7 +74,7 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{root}/tables/{uuid.uuid4().hex}"
     if _scopes.get():
         _scopes.get()[-1].append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from callpulse.config import CRM_DATE_COLUMNS, MODEL_FEATURES, Config
 from callpulse.operators import assemble as AS
+from callpulse.operators import cells as CE
 from callpulse.operators import crm as CR
 from callpulse.operators import warehouse as WH
+from callpulse.plans import catalog
+from callpulse.session import materialize
 
 CFG = Config()
 D = dt.datetime
@@ -72,3 +75,45 @@ def test_imputation_groups_the_matrix_where_it_is(spark, no_broadcast, monkeypat
     out = AS.impute_trace(m, CFG)
     assert plans == [["account_id, opp_id", "_account_id, _opp_id"]]
     assert sorted((r["opp_id"], r["n_calls_global"], r["mandate_delta_days"]) for r in out.collect()) == [(o, 9.0, float(o + len(crm_only) - 1)) for o in (10, 20)]
+
+
+def _register(spark):
+    """Three calls of one agent on one day, one of another, one without a start."""
+    cols = "call_id long, opp_id long, account_id long, direction string, start_time timestamp_ntz, duration_s double, agent string, manager_name string, role_id string, "
+    cols += ", ".join(f"{c} long" for c in WH.PUNCTUALITY_COLUMNS) + ", absence_flag string"
+    at = [D(2024, 1, 3, 9), D(2024, 1, 3, 10), D(2024, 1, 3, 11), D(2024, 1, 3, 12), None]
+    rows = [(i, 10, 1, "in", t, 60.0 * i, "A" if i < 3 else "B", "M", "EXPERT", i, 0, 0, 0, 0, WH.WORK) for i, t in enumerate(at)]
+    return spark.createDataFrame(rows, cols)
+
+
+def test_calls_go_to_their_cell_before_they_are_summed(spark):
+    cells = CE.day_cells(_register(spark), CFG)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert _hashed(cells) == ["account_id, opp_id, slot, agent"]
+    assert "Aggregate" not in plan[plan.index("hashpartitioning"):]
+    got = sorted((r["agent"], r["n_rows"], r["sum_dur"], r["last_no_show"], r["max_start"].hour) for r in cells.collect())
+    assert got == [("A", 3, 180.0, 2, 11), ("B", 1, 180.0, 3, 12)]
+
+
+def test_intermediate_tables_are_packed(spark):
+    t = materialize(spark.range(5))
+    assert sorted(r["id"] for r in t.collect()) == list(range(5))
+    assert all(f.endswith(".zstd.parquet") for f in t.inputFiles())
+
+
+@pytest.mark.parametrize("name", ["call_mix_global", "call_features_distinct"])
+def test_labels_that_only_the_call_side_reads_are_not_written(spark, monkeypatch, name):
+    written = []
+    for m in (catalog, CE):
+        monkeypatch.setattr(m, "materialize", lambda df: written.append(df.columns) or materialize(df))
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert written and not any("mandate_delta_days" in c for c in written)
+
+
+def test_labels_that_the_matrix_reads_too_are_derived_once(spark, monkeypatch):
+    c = catalog.Ctx(spark, "/root/testdata/sf0.001")
+    seen = []
+    monkeypatch.setattr(catalog.CE, "features_from_cells", lambda cells, labels, cfg: seen.append(labels) or labels)
+    c.cells = None
+    kept = c.labels
+    assert c.call_raw is kept and seen == [kept]
