@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -43,7 +43,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """base**i modulo 2**64 for i below n; sizes are rounded up so few arrays are kept."""
-    return _powers(base, 1 << max(20, (n - 1).bit_length()))[:n]
+    return _powers(base, 1 << max(19, (n - 1).bit_length()))[:n]
 
 
 def inverse(base: int) -> int:

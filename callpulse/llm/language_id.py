@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 DIMENSIONS = 512
 GRAM = 3
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], into: tuple[str,
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(len(columns)).to_pylist()
+            texts = batch.column(at).to_pylist()
             for a, b in _rows(texts):
                 x, has = profiles(texts[a:b])
                 if names:
@@ -199,7 +199,11 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], into: tuple[str,
                     [*columns, *into],
                 )
 
-    full = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias(free_name("text", columns)))
+    # a text that is a string already is not handed over a second time
+    own = "text" in columns and docs.schema["text"].dataType == StringType()
+    at = columns.index("text") if own else len(columns)
+    cast = [] if own else [F.col("text").cast("string").alias(free_name("text", columns))]
+    full = docs.select(*[F.col(f"`{c}`") for c in columns], *cast)
     if {c.lower() for c in into} & {c.lower() for c in columns}:
         raise ValueError(f"columns {' and '.join(into)} are reserved; give other names in into")
     # a schema of its own: add() changes the one that docs keeps, and with it docs.columns

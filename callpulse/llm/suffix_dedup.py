@@ -51,7 +51,7 @@ from callpulse.llm.workspace import Workspace, splittable
 
 SIZE = 100
 GRAM = 24
-LOT = 1 << 19
+LOT = 1 << 18
 HOT = 2048
 WIDTHS = (8, 1)
 

@@ -31,7 +31,7 @@ class Workspace:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         with settings(self.spark, {CLEANUP: "true", **MODEST_BATCHES}):
-            df.write.option("compression", "zstd").parquet(path)
+            df.write.options(**TABLE_OPTIONS).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self, name: str) -> None:
@@ -68,8 +68,11 @@ def settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-#: Arrow batches of whole texts, small enough for a Python worker to hold several
-MODEST_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+#: Arrow batches of whole texts, small enough for a Python worker and the executor's direct memory to hold several
+MODEST_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+#: a writer holds a row group in memory and a reader its columns; 16 MB of them, where Spark's default is 128
+TABLE_OPTIONS = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
